@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossarch.llm import bpe, lookalikes, neighbours, splitting, terms
+from glossarch.llm import bpe, lookalikes, mixing, neighbours, partenum, spam, spans, splitting, terms
 from glossarch.llm.tables import CHUNKS, CLAIMS, CONTEXTS, current, table
 from glossarch.operators.upsert import current_rows
 
@@ -44,6 +45,25 @@ def p3_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.split_oversized(rows, "id", "chunk")
 
 
+SIMILAR = Fraction(6, 10)
+
+
+def _sets(spark: SparkSession, d: str) -> DataFrame:
+    parts = [partenum.sets_of(current(spark, d, name, text), kind, "key", text) for kind, (name, text) in enumerate(((CHUNKS, "chunk"), (CLAIMS, "claim_text")))]
+    return partenum.numbered(parts[0].unionByName(parts[1]))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    sets = _sets(spark, d)
+    return partenum.record_pairs(sets, partenum.similar_classes(sets, SIMILAR))
+
+
+def p4_groups(spark: SparkSession, d: str) -> DataFrame:
+    sets = _sets(spark, d)
+    rows = partenum.groups(sets, partenum.similar_classes(sets, SIMILAR))
+    return rows.withColumn("kind", F.when(F.col("kind") == 0, "chunk").otherwise("claim_text"))
+
+
 def _terms(spark: SparkSession, d: str) -> DataFrame:
     parts = []
     for field, name in (("chunk", CHUNKS), ("chunk_ctx", CONTEXTS)):
@@ -64,8 +84,48 @@ def p5_residuals(spark: SparkSession, d: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _passages(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks and quotes in one table; the first character of ``rid`` says which."""
+    chunks = current(spark, d, CHUNKS, "doc", "chunk").select(F.concat(F.lit("c"), "key").alias("rid"), "doc", F.col("chunk").alias("text"))
+    quotes = current(spark, d, CLAIMS, "doc", "source_quote").select(F.concat(F.lit("q"), "key").alias("rid"), "doc", F.col("source_quote").alias("text"))
+    return chunks.unionByName(quotes)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    a, b = F.substring("a", 2, 2**31 - 1), F.substring("b", 2, 2**31 - 1)
+    return spans.sharing_pairs(spans.shared_runs(_passages(spark, d))).select(F.least(a, b).alias("rec_a"), F.greatest(a, b).alias("rec_b"))
+
+
+def p6_stretches(spark: SparkSession, d: str) -> DataFrame:
+    rows = spans.stretches(spans.shared_runs(_passages(spark, d)))
+    field = F.when(F.substring("rid", 1, 1) == "c", "chunk").otherwise("source_quote")
+    return rows.select(field.alias("field"), F.substring("rid", 2, 2**31 - 1).alias("key"), "words", "stretches", "shared_words", "share")
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encoded(table(spark, d, "documents"), "doc_id", "text").withColumnRenamed("key", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_one_form, p2_found, p3_found, p3_pieces, p5_found, p5_residuals, p7_ids)}
+def _mixture(spark: SparkSession, d: str):
+    counted = bpe.token_counts(table(spark, d, "documents").filter("source is not null and text is not null"), "text", None, "doc_id", "source")
+    return mixing.mixture(counted.withColumnRenamed("doc_id", "key"), table(spark, d, "source_weights"))
+
+
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return _mixture(spark, d)[0].withColumnRenamed("key", "doc_id")
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(*_mixture(spark, d))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    rule = spam.calibrated(docs, "doc_id", "text", "lang", table(spark, d, "doc_labels"))
+    return spam.spam_pages(docs, "doc_id", "text", "lang", rule).select(F.col("key").alias("doc_id"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (p1_found, p1_one_form, p2_found, p3_found, p3_pieces, p4_found, p4_groups, p5_found, p5_residuals, p6_found, p6_stretches, p7_ids, p8_mixture, p8_shares, p9_found)
+}
