@@ -8,7 +8,9 @@ grouped in bands with their own number of parts; a set signs in its own band and
 there, in the band below. In the lowest band, of very small sets, the single elements are the signatures.
 
 Any order makes this exact; a good one puts rare elements first. It comes from counts over all records in a table of
-fixed size, which can only overestimate: an element counted once is in no other set, and its pairs need not be sent.
+bounded size, which can only overestimate: an element counted once is in no other set, and signatures of it need not be sent.
+If the rarest shared element is counted at most ``rare`` times, it is among the first a - ceil(g * a) + 1 of both sets and
+signs alone; otherwise all shared elements are counted more often, and pairs of these are enumerated only.
 """
 
 from __future__ import annotations
@@ -28,16 +30,26 @@ from glossarch.plans.scratch import written
 
 #: least set size of each band, and the parts its domain is cut into
 BANDS = [(1, 0), (10, 4), (40, 10), (160, 40), (640, 160), (2560, 640), (10240, 2560), (40960, 10240), (163840, 40960), (655360, 163840), (2621440, 655360)]
-#: counters of the table of counts (two bytes each) and rows it is gathered in
-COUNTERS, BLOCK = 1 << 22, 1 << 13
+#: elements per counter aimed at, the most counters (one byte each) and the rows they are gathered in
+LOAD, COUNTERS, BLOCK = 4, 1 << 26, 1 << 12
+
+
+def _elements(texts: list[str | None], known: WordHashes, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct elements of each text, sorted within it; the text of each; the number of each text's elements."""
+    h, owner, _ = runs(*words_of([t.lower() if t else t for t in texts], known), words)
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    first = np.ones(len(h), bool)
+    first[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+    h, owner = h[first], owner[first]
+    return h, owner, np.bincount(owner, minlength=len(texts))
 
 
 def sets_of(df: DataFrame, kind: int, key: str, text: str, words: int = 3) -> DataFrame:
-    """``kind, key, class, size, m0..m3, elements`` of each text with at least ``words`` words; sets of different kind never meet.
+    """``kind, key, text, class, size, m0, m1`` of each text with at least ``words`` words; sets of different kind never meet.
 
-    Characters are taken as stored but lower-cased. ``class`` names the set (64 bits, seeded by kind), ``m0..m3`` are a
-    256-bit map of it in which each element turns one bit, ``elements`` its sorted hashes. Null, empty and shorter
-    texts have no row.
+    Characters are taken as stored but lower-cased. ``class`` names the set (64 bits, seeded by kind), ``m0, m1`` are a
+    128-bit map of it in which each element turns one bit. Null, empty and shorter texts have no row.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -45,57 +57,54 @@ def sets_of(df: DataFrame, kind: int, key: str, text: str, words: int = 3) -> Da
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                texts = [t.lower() if t else t for t in part.column("text").to_pylist()]
-                h, owner, _ = runs(*words_of(texts, known), words)
-                order = np.lexsort((h, owner))
-                h, owner = h[order], owner[order]
-                first = np.ones(len(h), bool)
-                first[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-                h, owner = h[first], owner[first]
-                size = np.bincount(owner, minlength=part.num_rows)
+                h, owner, size = _elements(part.column("text").to_pylist(), known, words)
                 has = np.flatnonzero(size)
-                bits = np.bincount(owner * 256 + (h >> np.uint64(56)).astype(np.int64), minlength=part.num_rows * 256) & 1
-                maps = np.packbits(bits.reshape(-1, 256).astype(np.uint8)[has], axis=1).view(np.int64)
+                bits = np.bincount(owner * 128 + (h >> np.uint64(57)).astype(np.int64), minlength=part.num_rows * 128) & 1
+                maps = np.packbits(bits.reshape(-1, 128).astype(np.uint8)[has], axis=1).view(np.int64)
                 ends = np.cumsum(size)
-                raw = [h[ends[i] - size[i] : ends[i]].tobytes() for i in has]
+                names = [xxhash.xxh3_64_intdigest(h[ends[i] - size[i] : ends[i]].tobytes(), seed=kind) for i in has]
                 take = pa.array(has)
-                kinds, keys = part.column("kind").take(take), part.column("key").take(take)
-                names = np.array([xxhash.xxh3_64_intdigest(r, seed=k) for k, r in zip(kinds.to_pylist(), raw)], np.uint64).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [kinds, keys, pa.array(names), pa.array(size[has].astype(np.int32)), *(pa.array(np.ascontiguousarray(maps[:, j])) for j in range(4)), pa.array(raw, pa.binary())],
-                    ["kind", "key", "class", "size", "m0", "m1", "m2", "m3", "elements"],
+                    [pa.array(np.full(len(has), kind, np.int32)), part.column("key").take(take), part.column("text").take(take)]
+                    + [pa.array(np.array(names, np.uint64).astype(np.int64)), pa.array(size[has].astype(np.int32)), *(pa.array(np.ascontiguousarray(maps[:, j])) for j in range(2))],
+                    ["kind", "key", "text", "class", "size", "m0", "m1"],
                 )
 
-    rows = df.select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "kind int, key string, class bigint, size int, m0 bigint, m1 bigint, m2 bigint, m3 bigint, elements binary")
+    rows = df.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, "kind int, key string, text string, class bigint, size int, m0 bigint, m1 bigint")
 
 
-def _counted(sets: DataFrame) -> np.ndarray:
-    """How many sets have an element, by hash modulo ``COUNTERS``, saturating: 8 MB whatever the number of sets."""
+def _counted(sets: DataFrame, words: int) -> tuple[np.ndarray, int]:
+    """How often each element occurs, by hash modulo a number of counters in proportion to the elements (at most
+    ``COUNTERS``), saturating; and the count up to which an element is called rare."""
+    total = sets.agg(F.sum("size")).first()[0] or 0
+    counters = 1 << int(np.clip(np.log2(max(total, 1) / LOAD), 16, np.log2(COUNTERS)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.uint32)
+        known, total = WordHashes(), np.zeros(counters, np.uint32)
         for batch in batches:
-            h = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64)
-            total += np.bincount((h % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
-        blocks = np.minimum(total, 65535).astype(np.uint16).reshape(-1, BLOCK)
+            for at in range(0, batch.num_rows, 8192):
+                h, _, _ = runs(*words_of([t.lower() for t in batch.column(0).slice(at, 8192).to_pylist()], known), words)
+                total += np.bincount((h % np.uint64(counters)).astype(np.int64), minlength=counters).astype(np.uint32)
+        blocks = np.minimum(total, 255).astype(np.uint8).reshape(-1, BLOCK)
         some = np.flatnonzero(blocks.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([blocks[i].tobytes() for i in some], pa.binary())], ["block", "counts"])
 
     def add(tables: pa.Table) -> pa.Table:
         total = np.zeros(BLOCK, np.uint32)
         for raw in tables["counts"].to_pylist():
-            total += np.frombuffer(raw, np.uint16)
-        return pa.table({"block": tables["block"][:1], "counts": pa.array([np.minimum(total, 65535).astype(np.uint16).tobytes()], pa.binary())})
+            total += np.frombuffer(raw, np.uint8)
+        return pa.table({"block": tables["block"][:1], "counts": pa.array([np.minimum(total, 255).astype(np.uint8).tobytes()], pa.binary())})
 
     schema = "block int, counts binary"
-    out = np.zeros((COUNTERS // BLOCK, BLOCK), np.uint16)
-    for row in sets.select("elements").mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema).toArrow().to_pylist():
-        out[row["block"]] = np.frombuffer(row["counts"], np.uint16)
-    return out.reshape(-1)
+    out = np.zeros((counters // BLOCK, BLOCK), np.uint8)
+    for row in sets.select("text").mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema).toArrow().to_pylist():
+        out[row["block"]] = np.frombuffer(row["counts"], np.uint8)
+    load = total / counters
+    return out.reshape(-1), int(min(2 * load + 4 * load**0.5 + 8, 254))
 
 
-def signatures(h: np.ndarray, owner: np.ndarray, size: np.ndarray, counts: np.ndarray, least: Fraction) -> tuple[np.ndarray, np.ndarray]:
+def signatures(h: np.ndarray, owner: np.ndarray, size: np.ndarray, counts: np.ndarray, least: Fraction, rare: int) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of a batch of sets (elements ``h`` of set ``owner``) and the set of each."""
     p, q = least.numerator, least.denominator
     seen = counts[(h % np.uint64(len(counts))).astype(np.int64)]
@@ -105,11 +114,12 @@ def signatures(h: np.ndarray, owner: np.ndarray, size: np.ndarray, counts: np.nd
     a = size[owner]
     place = np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size)
     spare = a - -(-(p * a) // q)  # elements that need not be shared
-    out, whose = [], []
+    alone = (place <= spare) & (seen > 1) & (seen <= rare)
+    out, whose = [mixed(h[alone], len(BANDS))], [owner[alone]]
     for band, (low, parts) in enumerate(BANDS):
         high = BANDS[band + 1][0] - 1 if band + 1 < len(BANDS) else np.inf
         # own band, or one above with a possible partner of at most ``high`` elements
-        use = (a >= low) & (p * a <= q * high) & (place <= spare + parts) & (seen > 1)
+        use = (a >= low) & (p * a <= q * high) & (place <= spare + parts) & (seen > max(rare, 1))
         if not use.any():
             continue
         e, o = h[use], owner[use]
@@ -128,36 +138,36 @@ def signatures(h: np.ndarray, owner: np.ndarray, size: np.ndarray, counts: np.nd
             out.append(mixed(mixed(e[same], e[same + step]), band))
             whose.append(o[same])
             step += 1
-    none = np.empty(0, np.uint64)
-    return np.concatenate([none, *out]), np.concatenate([np.empty(0, np.int64), *whose]).astype(np.int64)
+    return np.concatenate(out), np.concatenate(whose).astype(np.int64)
 
 
-def _signed(sets: DataFrame, least: Fraction) -> DataFrame:
-    """``signature, kind, class, size``; of the copies of one set that a task meets, one signs."""
-    table = sets.sparkSession.sparkContext.broadcast(_counted(sets))
+def _signed(sets: DataFrame, least: Fraction, words: int) -> DataFrame:
+    """``signature, class, size, m0, m1``; of the copies of one set that a task meets, one signs."""
+    counts, rare = _counted(sets, words)
+    table = sets.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[int] = set()
+        known, met = WordHashes(), set()
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                names, sizes, raw = part.column("class").to_pylist(), part.column("size").to_numpy(), part.column("elements").to_pylist()
-                new = [i for i, n in enumerate(names) if not (n in met or met.add(n))]
+                new = [i for i, n in enumerate(part.column("class").to_pylist()) if not (n in met or met.add(n))]
                 if not new:
                     continue
-                size = sizes[new].astype(np.int64)
-                h = np.frombuffer(b"".join(raw[i] for i in new), np.uint64)
-                sig, whose = signatures(h, np.repeat(np.arange(len(new)), size), size, table.value, least)
-                cls, kinds = np.array([names[i] for i in new], np.int64), part.column("kind").to_numpy()[new]
-                sig = mixed(sig, kinds[whose])
+                part = part.take(pa.array(new))
+                h, owner, size = _elements(part.column("text").to_pylist(), known, words)
+                sig, whose = signatures(h, owner, size, table.value, least, rare)
+                sig = mixed(sig, part.column("kind").to_numpy()[whose]).astype(np.int64)
                 for lo in range(0, len(sig), 1 << 18):
-                    s, w = sig[lo : lo + (1 << 18)], whose[lo : lo + (1 << 18)]
-                    yield pa.RecordBatch.from_arrays([pa.array(s.astype(np.int64)), pa.array(kinds[w]), pa.array(cls[w]), pa.array(size[w].astype(np.int32))], ["signature", "kind", "class", "size"])
+                    take = pa.array(whose[lo : lo + (1 << 18)])
+                    rest = ["class", "size", "m0", "m1"]
+                    yield pa.RecordBatch.from_arrays([pa.array(sig[lo : lo + (1 << 18)]), *(part.column(c).take(take) for c in rest)], ["signature", *rest])
 
-    return sets.select("kind", "class", "size", "elements").mapInArrow(run, "signature bigint, kind int, class bigint, size int")
+    rows = sets.select("kind", "class", "size", "m0", "m1", "text")
+    return rows.mapInArrow(run, "signature bigint, class bigint, size int, m0 bigint, m1 bigint")
 
 
-def similar_classes(sets: DataFrame, least: Fraction) -> DataFrame:
+def similar_classes(sets: DataFrame, least: Fraction, words: int = 3) -> DataFrame:
     """``class_a, class_b, shared, either`` (class_a < class_b): all pairs of different sets with similarity of at least ``least``.
 
     ``sets`` is a written table of ``sets_of``. Exact up to collisions of 64-bit hashes.
@@ -165,27 +175,36 @@ def similar_classes(sets: DataFrame, least: Fraction) -> DataFrame:
     p, q = least.numerator, least.denominator
     if not Fraction(1, 2) <= least <= 1:
         raise ValueError("the bands hold for similarities from one half to one")
-    signed = _signed(sets, least)
-    a = signed.select("signature", "kind", F.col("class").alias("class_a"), F.col("size").alias("size_a"))
-    b = signed.select("signature", "kind", F.col("class").alias("class_b"), F.col("size").alias("size_b"))
-    met = a.join(b, ["signature", "kind"]).filter(F.col("class_a") < F.col("class_b"))
-    met = met.filter((p * F.col("size_a") <= q * F.col("size_b")) & (p * F.col("size_b") <= q * F.col("size_a"))).select("class_a", "class_b").distinct()
-    # the number of differing elements is at least that of differing bits of the maps
-    maps = sets.groupBy("class").agg(*(F.max(c).alias(c) for c in ("size", "m0", "m1", "m2", "m3")))
-    for side in "ab":
-        met = met.join(maps.select(*(F.col(c).alias(f"{c}_{side}") for c in maps.columns)), f"class_{side}")
-    bits = sum(F.bit_count(F.col(f"m{j}_a").bitwiseXOR(F.col(f"m{j}_b"))) for j in range(4))
-    size = F.col("size_a") + F.col("size_b")
-    # shared >= least * (size - shared)  <=>  differing <= (1 - least) / (1 + least) * size
-    near = written(met.filter((q + p) * bits <= (q - p) * size).select("class_a", "class_b"), "candidates")
+    signed = _signed(sets, least, words)
+    a = signed.select("signature", *(F.col(c).alias(f"{c}_a") for c in ("class", "size", "m0", "m1")))
+    b = signed.select("signature", *(F.col(c).alias(f"{c}_b") for c in ("class", "size", "m0", "m1")))
+    # shared >= least * (size - shared)  <=>  differing <= (1 - least) / (1 + least) * size; differing bits are differing elements
+    bits = sum(F.bit_count(F.col(f"m{j}_a").bitwiseXOR(F.col(f"m{j}_b"))) for j in range(2))
+    fits = (p * F.col("size_a") <= q * F.col("size_b")) & (p * F.col("size_b") <= q * F.col("size_a"))
+    fits &= (q + p) * bits <= (q - p) * (F.col("size_a") + F.col("size_b"))
+    near = a.join(b, "signature").filter((F.col("class_a") < F.col("class_b")) & fits)
+    near = written(near.select("class_a", "class_b").distinct(), "candidates")
     wanted = near.select(F.col("class_a").alias("class")).union(near.select("class_b")).distinct()
-    full = latest_rows(sets.select("class", "rid", "elements").join(wanted, "class", "left_semi"), "class", [F.col("rid")]).drop("rid")
-    pairs = near.join(full.withColumnsRenamed({"class": "class_a", "elements": "ea"}), "class_a").join(full.withColumnsRenamed({"class": "class_b", "elements": "eb"}), "class_b")
+    one = latest_rows(sets.select("kind", "class", "key", "text").join(wanted, "class", "left_semi"), "class", [F.col("key")])
+
+    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                h, _, size = _elements(part.column("text").to_pylist(), known, words)
+                ends = np.cumsum(size)
+                raw = pa.array([h[e - n : e].tobytes() for n, e in zip(size, ends)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("class"), part.column("kind"), raw], ["class", "kind", "elements"])
+
+    full = written(one.select("class", "kind", "text").mapInArrow(elements, "class bigint, kind int, elements binary"), "elements")
+    pairs = near.join(full.withColumnsRenamed({"class": "class_a", "elements": "ea", "kind": "ka"}), "class_a")
+    pairs = pairs.join(full.withColumnsRenamed({"class": "class_b", "elements": "eb", "kind": "kb"}), "class_b").filter("ka = kb")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             xs, ys = batch.column("ea").to_pylist(), batch.column("eb").to_pylist()
-            one, two = np.array([len(x) // 8 for x in xs]), np.array([len(y) // 8 for y in ys])
+            one, two = np.array([len(x) // 8 for x in xs], np.int64), np.array([len(y) // 8 for y in ys], np.int64)
             both = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(xs, ys)]
             shared = np.array(both, np.int64)
             either = one + two - shared
@@ -193,12 +212,7 @@ def similar_classes(sets: DataFrame, least: Fraction) -> DataFrame:
             take = pa.array(keep)
             yield pa.RecordBatch.from_arrays([batch.column("class_a").take(take), batch.column("class_b").take(take), pa.array(shared[keep]), pa.array(either[keep])], ["class_a", "class_b", "shared", "either"])
 
-    return pairs.mapInArrow(verify, "class_a bigint, class_b bigint, shared bigint, either bigint")
-
-
-def numbered(sets: DataFrame) -> DataFrame:
-    """The sets written once, with a number each."""
-    return written(sets.withColumn("rid", F.monotonically_increasing_id()), "sets")
+    return pairs.select("class_a", "class_b", "ea", "eb").mapInArrow(verify, "class_a bigint, class_b bigint, shared bigint, either bigint")
 
 
 def record_pairs(sets: DataFrame, similar: DataFrame) -> DataFrame:

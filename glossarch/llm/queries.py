@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from glossarch.llm import bpe, lookalikes, mixing, neighbours, partenum, spam, spans, splitting, terms
 from glossarch.llm.tables import CHUNKS, CLAIMS, CONTEXTS, current, table
 from glossarch.operators.upsert import current_rows
+from glossarch.plans.scratch import written
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -50,7 +51,7 @@ SIMILAR = Fraction(6, 10)
 
 def _sets(spark: SparkSession, d: str) -> DataFrame:
     parts = [partenum.sets_of(current(spark, d, name, text), kind, "key", text) for kind, (name, text) in enumerate(((CHUNKS, "chunk"), (CLAIMS, "claim_text")))]
-    return partenum.numbered(parts[0].unionByName(parts[1]))
+    return written(parts[0].unionByName(parts[1]), "sets")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
