@@ -46,10 +46,10 @@ def _elements(texts: list[str | None], known: WordHashes, words: int) -> tuple[n
 
 
 def sets_of(df: DataFrame, kind: int, key: str, text: str, words: int = 3) -> DataFrame:
-    """``kind, key, text, class, size, m0, m1`` of each text with at least ``words`` words; sets of different kind never meet.
+    """``kind, key, text, class, size, m0..m3`` of each text with at least ``words`` words; sets of different kind never meet.
 
-    Characters are taken as stored but lower-cased. ``class`` names the set (64 bits, seeded by kind), ``m0, m1`` are a
-    128-bit map of it in which each element turns one bit. Null, empty and shorter texts have no row.
+    Characters are taken as stored but lower-cased. ``class`` names the set (64 bits, seeded by kind), ``m0..m3`` are a
+    256-bit map of it in which each element turns one bit. Null, empty and shorter texts have no row.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,19 +59,19 @@ def sets_of(df: DataFrame, kind: int, key: str, text: str, words: int = 3) -> Da
                 part = batch.slice(at, 4096)
                 h, owner, size = _elements(part.column("text").to_pylist(), known, words)
                 has = np.flatnonzero(size)
-                bits = np.bincount(owner * 128 + (h >> np.uint64(57)).astype(np.int64), minlength=part.num_rows * 128) & 1
-                maps = np.packbits(bits.reshape(-1, 128).astype(np.uint8)[has], axis=1).view(np.int64)
+                bits = np.bincount(owner * 256 + (h >> np.uint64(56)).astype(np.int64), minlength=part.num_rows * 256) & 1
+                maps = np.packbits(bits.reshape(-1, 256).astype(np.uint8)[has], axis=1).view(np.int64)
                 ends = np.cumsum(size)
                 names = [xxhash.xxh3_64_intdigest(h[ends[i] - size[i] : ends[i]].tobytes(), seed=kind) for i in has]
                 take = pa.array(has)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(has), kind, np.int32)), part.column("key").take(take), part.column("text").take(take)]
-                    + [pa.array(np.array(names, np.uint64).astype(np.int64)), pa.array(size[has].astype(np.int32)), *(pa.array(np.ascontiguousarray(maps[:, j])) for j in range(2))],
-                    ["kind", "key", "text", "class", "size", "m0", "m1"],
+                    + [pa.array(np.array(names, np.uint64).astype(np.int64)), pa.array(size[has].astype(np.int32)), *(pa.array(np.ascontiguousarray(maps[:, j])) for j in range(4))],
+                    ["kind", "key", "text", "class", "size", "m0", "m1", "m2", "m3"],
                 )
 
     rows = df.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "kind int, key string, text string, class bigint, size int, m0 bigint, m1 bigint")
+    return rows.mapInArrow(run, "kind int, key string, text string, class bigint, size int, m0 bigint, m1 bigint, m2 bigint, m3 bigint")
 
 
 def _counted(sets: DataFrame, words: int) -> tuple[np.ndarray, int]:
@@ -142,7 +142,7 @@ def signatures(h: np.ndarray, owner: np.ndarray, size: np.ndarray, counts: np.nd
 
 
 def _signed(sets: DataFrame, least: Fraction, words: int) -> DataFrame:
-    """``signature, class, size, m0, m1``; of the copies of one set that a task meets, one signs."""
+    """``signature, class, size, m0, m1``; of the copies of one set that a task meets, one signs. The map is folded to 128 bits."""
     counts, rare = _counted(sets, words)
     table = sets.sparkSession.sparkContext.broadcast(counts)
 
@@ -163,7 +163,8 @@ def _signed(sets: DataFrame, least: Fraction, words: int) -> DataFrame:
                     rest = ["class", "size", "m0", "m1"]
                     yield pa.RecordBatch.from_arrays([pa.array(sig[lo : lo + (1 << 18)]), *(part.column(c).take(take) for c in rest)], ["signature", *rest])
 
-    rows = sets.select("kind", "class", "size", "m0", "m1", "text")
+    folded = [F.col(f"m{j}").bitwiseXOR(F.col(f"m{j + 2}")).alias(f"m{j}") for j in range(2)]
+    rows = sets.select("kind", "class", "size", *folded, "text")
     return rows.mapInArrow(run, "signature bigint, class bigint, size int, m0 bigint, m1 bigint")
 
 
@@ -178,14 +179,21 @@ def similar_classes(sets: DataFrame, least: Fraction, words: int = 3) -> DataFra
     signed = _signed(sets, least, words)
     a = signed.select("signature", *(F.col(c).alias(f"{c}_a") for c in ("class", "size", "m0", "m1")))
     b = signed.select("signature", *(F.col(c).alias(f"{c}_b") for c in ("class", "size", "m0", "m1")))
-    # shared >= least * (size - shared)  <=>  differing <= (1 - least) / (1 + least) * size; differing bits are differing elements
-    bits = sum(F.bit_count(F.col(f"m{j}_a").bitwiseXOR(F.col(f"m{j}_b"))) for j in range(2))
+
+    def may_be(words: int):
+        # shared >= least * (size - shared)  <=>  differing <= (1 - least) / (1 + least) * size; differing bits are differing elements
+        bits = sum(F.bit_count(F.col(f"m{j}_a").bitwiseXOR(F.col(f"m{j}_b"))) for j in range(words))
+        return (q + p) * bits <= (q - p) * (F.col("size_a") + F.col("size_b"))
+
     fits = (p * F.col("size_a") <= q * F.col("size_b")) & (p * F.col("size_b") <= q * F.col("size_a"))
-    fits &= (q + p) * bits <= (q - p) * (F.col("size_a") + F.col("size_b"))
-    near = a.join(b, "signature").filter((F.col("class_a") < F.col("class_b")) & fits)
-    near = written(near.select("class_a", "class_b").distinct(), "candidates")
+    near = a.join(b, "signature").filter((F.col("class_a") < F.col("class_b")) & fits & may_be(2)).select("class_a", "class_b").distinct()
+    # the few that are left meet the whole maps, before texts are moved
+    maps = sets.groupBy("class").agg(*(F.max(c).alias(c) for c in ("kind", "size", "m0", "m1", "m2", "m3")))
+    for side in "ab":
+        near = near.join(maps.select(*(F.col(c).alias(f"{c}_{side}") for c in maps.columns)), f"class_{side}")
+    near = written(near.filter((F.col("kind_a") == F.col("kind_b")) & may_be(4)).select("class_a", "class_b"), "candidates")
     wanted = near.select(F.col("class_a").alias("class")).union(near.select("class_b")).distinct()
-    one = latest_rows(sets.select("kind", "class", "key", "text").join(wanted, "class", "left_semi"), "class", [F.col("key")])
+    one = latest_rows(sets.select("class", "key", "text").join(wanted, "class", "left_semi"), "class", [F.col("key")])
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -195,11 +203,11 @@ def similar_classes(sets: DataFrame, least: Fraction, words: int = 3) -> DataFra
                 h, _, size = _elements(part.column("text").to_pylist(), known, words)
                 ends = np.cumsum(size)
                 raw = pa.array([h[e - n : e].tobytes() for n, e in zip(size, ends)], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("class"), part.column("kind"), raw], ["class", "kind", "elements"])
+                yield pa.RecordBatch.from_arrays([part.column("class"), raw], ["class", "elements"])
 
-    full = written(one.select("class", "kind", "text").mapInArrow(elements, "class bigint, kind int, elements binary"), "elements")
-    pairs = near.join(full.withColumnsRenamed({"class": "class_a", "elements": "ea", "kind": "ka"}), "class_a")
-    pairs = pairs.join(full.withColumnsRenamed({"class": "class_b", "elements": "eb", "kind": "kb"}), "class_b").filter("ka = kb")
+    full = written(one.select("class", "text").mapInArrow(elements, "class bigint, elements binary"), "elements")
+    pairs = near.join(full.withColumnsRenamed({"class": "class_a", "elements": "ea"}), "class_a")
+    pairs = pairs.join(full.withColumnsRenamed({"class": "class_b", "elements": "eb"}), "class_b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
