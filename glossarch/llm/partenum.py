@@ -168,6 +168,47 @@ def _signed(sets: DataFrame, least: Fraction, words: int) -> DataFrame:
     return rows.mapInArrow(run, "signature bigint, class bigint, size int, m0 bigint, m1 bigint")
 
 
+def _map(elements: np.ndarray) -> bytes:
+    """A bit map in proportion to the set in which each element turns one bit."""
+    bits = 1 << max(8, int(2 * len(elements) - 1).bit_length())
+    odd = np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _apart(x: bytes, y: bytes) -> int:
+    """Differing bits of two maps, the longer folded to the shorter: never more than there are differing elements."""
+    one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if len(one) < len(two):
+        one, two = two, one
+    while len(one) > len(two):
+        one = one[: len(one) // 2] ^ one[len(one) // 2 :]
+    return int(np.bitwise_count(one ^ two).sum())
+
+
+def _marked(classes: DataFrame) -> np.ndarray:
+    """A bit table of classes, by value modulo its size: 16 bits a class, at most 16 MB. Built by the tasks, put together block by block."""
+    size = 1 << int(np.clip(np.log2(16 * max(classes.count(), 1)), 16, 27))
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(size // 8, np.uint8)
+        for batch in batches:
+            at = batch.column(0).to_numpy().astype(np.uint64) % np.uint64(size)
+            np.bitwise_or.at(table, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+        blocks = table.reshape(-1, BLOCK)
+        some = np.flatnonzero(blocks.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([blocks[i].tobytes() for i in some], pa.binary())], ["block", "bits"])
+
+    def add(tables: pa.Table) -> pa.Table:
+        raw = np.stack([np.frombuffer(r, np.uint8) for r in tables["bits"].to_pylist()])
+        return pa.table({"block": tables["block"][:1], "bits": pa.array([np.bitwise_or.reduce(raw, 0).tobytes()], pa.binary())})
+
+    out = np.zeros((size // 8 // BLOCK, BLOCK), np.uint8)
+    schema = "block int, bits binary"
+    for row in classes.mapInArrow(mark, schema).groupBy("block").applyInArrow(add, schema).toArrow().to_pylist():
+        out[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1)
+
+
 def similar_classes(sets: DataFrame, least: Fraction, words: int = 3) -> DataFrame:
     """``class_a, class_b, shared, either`` (class_a < class_b): all pairs of different sets with similarity of at least ``least``.
 
@@ -191,27 +232,43 @@ def similar_classes(sets: DataFrame, least: Fraction, words: int = 3) -> DataFra
     maps = sets.groupBy("class").agg(*(F.max(c).alias(c) for c in ("kind", "size", "m0", "m1", "m2", "m3")))
     for side in "ab":
         near = near.join(maps.select(*(F.col(c).alias(f"{c}_{side}") for c in maps.columns)), f"class_{side}")
-    near = written(near.filter((F.col("kind_a") == F.col("kind_b")) & may_be(4)).select("class_a", "class_b"), "candidates")
-    wanted = near.select(F.col("class_a").alias("class")).union(near.select("class_b")).distinct()
-    one = latest_rows(sets.select("class", "key", "text").join(wanted, "class", "left_semi"), "class", [F.col("key")])
+    near = written(near.filter((F.col("kind_a") == F.col("kind_b")) & may_be(4)).select("class_a", "class_b", "size_a", "size_b"), "candidates")
+    # of the texts, only those whose class is (or shares a bit with) one of these give their elements
+    bits = sets.sparkSession.sparkContext.broadcast(_marked(near.select(F.col("class_a").alias("class")).union(near.select("class_b"))))
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known, table = WordHashes(), bits.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                h, _, size = _elements(part.column("text").to_pylist(), known, words)
-                ends = np.cumsum(size)
-                raw = pa.array([h[e - n : e].tobytes() for n, e in zip(size, ends)], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("class"), raw], ["class", "elements"])
+            at = batch.column("class").to_numpy().astype(np.uint64) % np.uint64(len(table) * 8)
+            part = batch.filter(pa.array((table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)))
+            for lo in range(0, part.num_rows, 4096):
+                some = part.slice(lo, 4096)
+                h, _, size = _elements(some.column("text").to_pylist(), known, words)
+                lists = [h[e - n : e] for n, e in zip(size, np.cumsum(size))]
+                maps = pa.array([_map(x) for x in lists], pa.binary())
+                yield pa.RecordBatch.from_arrays([some.column("class"), maps, pa.array([x.tobytes() for x in lists], pa.binary())], ["class", "map", "elements"])
+
+    some = sets.select("class", "text").mapInArrow(elements, "class bigint, map binary, elements binary")
+    full = written(latest_rows(some, "class", [F.col("class")]), "elements")
+
+    def both(pairs: DataFrame, column: str) -> DataFrame:
+        for side in "ab":
+            pairs = pairs.join(full.select(F.col("class").alias(f"class_{side}"), F.col(column).alias(side)), f"class_{side}")
+        return pairs
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = batch.column("size_a").to_numpy().astype(np.int64), batch.column("size_b").to_numpy().astype(np.int64)
+            differing = np.array([_apart(x, y) for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())], np.int64)
+            keep = pa.array((q + p) * differing <= (q - p) * (one + two))
+            yield pa.RecordBatch.from_arrays([batch.column("class_a").filter(keep), batch.column("class_b").filter(keep)], ["class_a", "class_b"])
 
-    full = written(one.select("class", "text").mapInArrow(elements, "class bigint, elements binary"), "elements")
-    pairs = near.join(full.withColumnsRenamed({"class": "class_a", "elements": "ea"}), "class_a")
-    pairs = pairs.join(full.withColumnsRenamed({"class": "class_b", "elements": "eb"}), "class_b")
+    pairs = both(near, "map").select("class_a", "class_b", "size_a", "size_b", "a", "b").mapInArrow(alike, "class_a bigint, class_b bigint")
+    pairs = both(pairs, "elements")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            xs, ys = batch.column("ea").to_pylist(), batch.column("eb").to_pylist()
+            xs, ys = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             one, two = np.array([len(x) // 8 for x in xs], np.int64), np.array([len(y) // 8 for y in ys], np.int64)
             both = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(xs, ys)]
             shared = np.array(both, np.int64)
@@ -220,7 +277,7 @@ def similar_classes(sets: DataFrame, least: Fraction, words: int = 3) -> DataFra
             take = pa.array(keep)
             yield pa.RecordBatch.from_arrays([batch.column("class_a").take(take), batch.column("class_b").take(take), pa.array(shared[keep]), pa.array(either[keep])], ["class_a", "class_b", "shared", "either"])
 
-    return pairs.select("class_a", "class_b", "ea", "eb").mapInArrow(verify, "class_a bigint, class_b bigint, shared bigint, either bigint")
+    return pairs.select("class_a", "class_b", "a", "b").mapInArrow(verify, "class_a bigint, class_b bigint, shared bigint, either bigint")
 
 
 def record_pairs(sets: DataFrame, similar: DataFrame) -> DataFrame:
