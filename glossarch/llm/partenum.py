@@ -101,7 +101,7 @@ def _counted(sets: DataFrame, words: int) -> tuple[np.ndarray, int]:
     for row in sets.select("text").mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema).toArrow().to_pylist():
         out[row["block"]] = np.frombuffer(row["counts"], np.uint8)
     load = total / counters
-    return out.reshape(-1), int(min(2 * load + 4 * load**0.5 + 8, 254))
+    return out.reshape(-1), int(min(4 * load + 4 * load**0.5 + 20, 254))
 
 
 def signatures(h: np.ndarray, owner: np.ndarray, size: np.ndarray, counts: np.ndarray, least: Fraction, rare: int) -> tuple[np.ndarray, np.ndarray]:
