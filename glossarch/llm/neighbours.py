@@ -76,6 +76,12 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
     return flat / np.sqrt((flat**2).sum(1, keepdims=True))
 
 
+def _units(column, number: type, size: int) -> np.ndarray:
+    """Unit vectors of a column of stored bytes."""
+    m = np.frombuffer(b"".join(column.to_pylist()), number).astype(np.float64).reshape(-1, size)
+    return m / np.sqrt((m**2).sum(1, keepdims=True))
+
+
 def usable(vector, size: int):
     """Vectors that take part: ``size`` numbers, none null or NaN or infinite, not all zero."""
     squares = F.aggregate(vector, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
@@ -100,6 +106,8 @@ def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5
     if sample.num_rows == 0:
         return spark.createDataFrame([], f"query {kind}, neighbour {kind}, cosine double, place int")
     points, half = _matrix(sample["v"].combine_chunks(), size), size // 2
+    # entries keep their numbers as they are stored; cosines are computed in double precision from these
+    number = np.float64 if rows.schema["v"].dataType.elementType.typeName() == "double" else np.float32
     wanted = int(np.clip(np.sqrt(n / PER_CELL), 4, CODEBOOK))
     books = codebook(points[:, :half], wanted), codebook(points[:, half:], wanted, seed=1)
     columns = len(books[1])
@@ -109,7 +117,8 @@ def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5
             if batch.num_rows:
                 m = _matrix(batch.column(1), size)
                 cell = _nearest(m[:, :half], books[0])[0] * columns + _nearest(m[:, half:], books[1])[0]
-                raw = pa.array([r.tobytes() for r in m.astype(np.float32)], pa.binary())
+                stored = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(number).reshape(-1, size)
+                raw = pa.array([r.tobytes() for r in stored], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0), raw, pa.array(cell.astype(np.int32)), batch.column(2)], ["key", "v", "cell", "asked"])
 
     flagged = rows.join(asked, "key", "left").select("key", "v", F.coalesce("asked", F.lit(False)).alias("asked"))
@@ -137,7 +146,7 @@ def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5
         for batch in batches:
             if not batch.num_rows:
                 continue
-            m = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float32).reshape(-1, size)
+            m = _units(batch.column(1), number, size)
             da = (one**2).sum(1) - 2 * m[:, :half] @ one.T
             db = (two**2).sum(1) - 2 * m[:, half:] @ two.T
             shard, who, visited = [], [], []
@@ -184,7 +193,7 @@ def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5
             for lo, hi in zip([0, *edges], [*edges, batch.num_rows]):
                 name, part = (shard[lo], copy[lo]), batch.slice(lo, hi - lo)
                 if held is None or held.name != name:
-                    held = _Shard(name, size)
+                    held = _Shard(name, size, number)
                 if side[lo] == 0:
                     held.add(part)
                 else:
@@ -201,8 +210,8 @@ def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5
 class _Shard:
     """Entries of one shard, and the queries' best among them."""
 
-    def __init__(self, name, size: int):
-        self.name, self.size, self.parts, self.ready = name, size, [], None
+    def __init__(self, name, size: int, number: type):
+        self.name, self.size, self.number, self.parts, self.ready = name, size, number, [], None
 
     def add(self, part: pa.RecordBatch) -> None:
         self.parts.append(part)
@@ -212,17 +221,18 @@ class _Shard:
             t = pa.Table.from_batches(self.parts).combine_chunks()
             cell = t["cells"].combine_chunks().flatten().to_numpy()
             order = np.argsort(cell, kind="stable")
-            m = np.frombuffer(b"".join(t["v"].to_pylist()), np.float32).reshape(-1, self.size)[order]
+            m = _units(t["v"], self.number, self.size)[order]
             names, starts = np.unique(cell[order], return_index=True)
             spans = dict(zip(names.tolist(), zip(starts.tolist(), [*starts[1:].tolist(), len(cell)])))
-            self.ready = m, np.array(t["key"].to_pylist(), dtype=object)[order], spans
+            self.ready = m, m.astype(np.float32), np.array(t["key"].to_pylist(), dtype=object)[order], spans
         return self.ready
 
     def best(self, asked: pa.RecordBatch, k: int) -> pa.RecordBatch:
         out: tuple[list, list, list] = ([], [], [])
         if self.parts:
-            m, keys, spans = self._prepare()
-            q = np.frombuffer(b"".join(asked.column("v").to_pylist()), np.float32).reshape(-1, self.size)
+            exact, m, keys, spans = self._prepare()
+            queries = _units(asked.column("v"), self.number, self.size)
+            q = queries.astype(np.float32)
             names = asked.column("key").to_pylist()
             for i, (name, cells) in enumerate(zip(names, asked.column("cells").to_pylist())):
                 at = np.concatenate([np.arange(*spans[c]) for c in cells if c in spans] or [np.empty(0, int)])
@@ -232,8 +242,7 @@ class _Shard:
                 if len(at) > 2 * k + 2:  # all that may be among the k after exact ranking, ties included
                     edge = np.partition(score, len(at) - k - 1)[len(at) - k - 1] - 1e-5
                     at = at[score >= edge]
-                exact = m[at].astype(np.float64) @ q[i].astype(np.float64)
-                ranked = sorted((-s, n) for s, n in zip(exact.tolist(), keys[at].tolist()) if n != name)[:k]
+                ranked = sorted((-s, n) for s, n in zip((exact[at] @ queries[i]).tolist(), keys[at].tolist()) if n != name)[:k]
                 out[0].extend([name] * len(ranked))
                 out[1].extend(n for _, n in ranked)
                 out[2].extend(-s for s, _ in ranked)

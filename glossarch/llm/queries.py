@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossarch.llm import bpe, lookalikes, mixing, neighbours, partenum, spam, spans, splitting, terms
+from glossarch.llm.oracle import ORACLE  # noqa: F401
 from glossarch.llm.tables import CHUNKS, CLAIMS, CONTEXTS, current, table
 from glossarch.operators.upsert import current_rows
 from glossarch.plans.scratch import written
