@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKETS = 64
+_TOKEN = re.compile("[a-z0-9]+")
 
 
 def norm(v: Column) -> Column:
@@ -18,7 +23,9 @@ def norm(v: Column) -> Column:
 
 def l2_normalise(v: Column) -> Column:
     """v / (|v| + 1e-12) as doubles; a zero vector stays zero, null stays null."""
-    return F.transform(v, lambda x: x.cast("double") / (norm(v) + F.lit(1e-12)))
+    # the one-element array binds vector and norm, so that the norm is not computed for each number
+    bound = F.array(F.struct(v.alias("v"), norm(v).alias("n")))
+    return F.get(F.transform(bound, lambda b: F.transform(b["v"], lambda x: x.cast("double") / (b["n"] + F.lit(1e-12)))), F.lit(0))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -27,15 +34,33 @@ def dot(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == F.size(b), F.aggregate(products, F.lit(0.0), lambda s, x: s + x))
 
 
-def hash_bucket(token: Column, buckets: int = BUCKETS) -> Column:
-    return F.conv(F.substring(F.md5(token), 1, 4), 16, 10).cast("int") % buckets
+def bucket(token: str, buckets: int = BUCKETS) -> int:
+    return int(hashlib.md5(token.encode()).hexdigest()[:4], 16) % buckets
 
 
-def hash_embedding(tokens: Column, buckets: int = BUCKETS) -> Column:
-    """Offline stand-in for an embedding model: counts of tokens by hash bucket, normalised."""
-    places = F.transform(tokens, lambda t: hash_bucket(t, buckets))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda b: F.size(F.filter(places, lambda p: p == b)).cast("float"))
-    return F.transform(l2_normalise(counts), lambda x: x.cast("float"))
+class _Buckets(dict):
+    def __init__(self, buckets: int, room: int = 300_000):
+        super().__init__()
+        self.buckets, self.room = buckets, room
+
+    def __missing__(self, token: str) -> int:
+        b = bucket(token, self.buckets)
+        if len(self) < self.room:
+            self[token] = b
+        return b
+
+
+def bag(tokens: list[str], places: _Buckets) -> np.ndarray:
+    v = np.bincount(np.fromiter(map(places.__getitem__, tokens), np.int64, len(tokens)), minlength=places.buckets).astype(float)
+    return (v / (np.sqrt((v**2).sum()) + 1e-12)).astype(np.float32)
+
+
+@F.pandas_udf(T.ArrayType(T.FloatType()))
+def hash_embedding(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Offline stand-in for an embedding model: counts of the tokens of a text by hash bucket, normalised. Null is as empty."""
+    places = _Buckets(BUCKETS)
+    for batch in texts:
+        yield pd.Series([bag(_TOKEN.findall(t.lower()) if t else [], places) for t in batch], dtype=object)
 
 
 def unit_matrix(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -137,11 +137,11 @@ def chunk_overlap(spark, d):
 @query(
     f"""WITH t AS (SELECT doc_id, unnest({sql.tokens('text')}) AS t FROM documents),
 b AS (SELECT doc_id, CAST(('0x' || substr(md5(t), 1, 4)) AS INTEGER) % 64 AS bucket, count(*) AS c FROM t GROUP BY ALL)
-SELECT doc_id, CAST(bucket AS INTEGER) AS bucket, round(c / sqrt(sum(c * c) OVER (PARTITION BY doc_id)), 5) AS weight FROM b"""
+SELECT doc_id, CAST(bucket AS INTEGER) AS bucket, round((c / (sqrt(sum(c * c) OVER (PARTITION BY doc_id)) + 1e-12))::FLOAT::DOUBLE, 5) AS weight FROM b"""
 )
 def hash_embed(spark, d):
     rows = _table(spark, d, "documents").filter("text is not null")
-    rows = rows.select("doc_id", F.posexplode(vectors.hash_embedding(retrieval.tokens(F.col("text")))).alias("bucket", "w"))
+    rows = rows.select("doc_id", F.posexplode(vectors.hash_embedding(F.col("text"))).alias("bucket", "w"))
     return rows.filter("w > 0").select("doc_id", "bucket", F.round(F.col("w").cast("double"), 5).alias("weight"))
 
 
