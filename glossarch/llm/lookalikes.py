@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from glossarch.plans.scratch import written
+
 # Letters of other alphabets (first word of a pair) that have the shape of another letter (second).
 SAME_SHAPE = {
     "cyrillic": ("АВЕКМНОРСТХЅІЈҮԚԜ", "ABEKMHOPCTXSIJYQW"),
@@ -158,6 +160,7 @@ def same_look_groups(df: DataFrame, key: str, text: str) -> DataFrame:
     empty texts are in no class. Records that are plain copies of one another alone form no class.
     """
     rows = canonical(df, key, text).filter("form is not null and not empty").select("key", "f1", "f2", "written")
+    rows = written(rows, "forms")  # the texts are walked once
     # distinct stored texts first: a large group of copies is one row per task before the exchange
     kinds = rows.groupBy("f1", "f2", "written").agg(F.count(F.lit(1)).alias("n"))
     several = kinds.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("variants")).filter("variants > 1")
