@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossarch.plans.scratch import written
@@ -124,10 +124,12 @@ def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5
     flagged = rows.join(asked, "key", "left").select("key", "v", F.coalesce("asked", F.lit(False)).alias("asked"))
     index = written(flagged.mapInArrow(assign, f"key {kind}, v binary, cell int, asked boolean"), "index")
 
-    # at most CODEBOOK ** 2 cells
+    # Of equal vectors only the k + 1 smallest keys can be among the k best, so a large group of copies fills no cell.
+    # At most CODEBOOK ** 2 cells.
     counts = np.zeros(len(books[0]) * columns, np.int64)
-    for r in index.groupBy("cell").count().toArrow().to_pylist():
-        counts[r["cell"]] = r["count"]
+    copies = index.groupBy("cell", F.xxhash64("v").alias("h")).count()
+    for r in copies.groupBy("cell").agg(F.sum(F.least("count", F.lit(k + 1))).alias("n")).toArrow().to_pylist():
+        counts[r["cell"]] = r["n"]
     shards = np.maximum(1, -(-counts // SHARD))  # of a cell
     first = np.zeros(len(counts), np.int64)
     at = filled = 0
@@ -178,7 +180,9 @@ def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5
     visits = written(index.filter("asked").select("key", "v").mapInArrow(route, f"shard int, key {kind}, v binary, cells array<int>"), "visits")
     # a shard that very many queries visit is served by several copies of it
     busy = visits.groupBy("shard").count().select("shard", F.ceil(F.col("count") / VISITS).cast("int").alias("copies"))
-    entries = index.select("key", "v", "cell", F.pmod(F.xxhash64("key"), F.lit(2**31)).alias("spread")).mapInArrow(place, f"shard int, key {kind}, v binary, cell int")
+    first_keys = F.row_number().over(Window.partitionBy("v").orderBy("key"))
+    distinct = index.select("key", "v", "cell").withColumn("copy", first_keys).filter(F.col("copy") <= k + 1)
+    entries = distinct.select("key", "v", "cell", F.pmod(F.xxhash64("key"), F.lit(2**31)).alias("spread")).mapInArrow(place, f"shard int, key {kind}, v binary, cell int")
     entries = entries.join(busy, "shard").select("shard", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"), F.lit(0).alias("side"), "key", "v", F.array("cell").alias("cells"))
     visits = visits.join(busy, "shard").select("shard", (F.pmod(F.xxhash64("key"), F.col("copies")) + 1).cast("int").alias("copy"), F.lit(1).alias("side"), "key", "v", "cells")
     both = entries.unionByName(visits).repartition("shard", "copy").sortWithinPartitions("shard", "copy", "side")
@@ -201,8 +205,6 @@ def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5
 
     found = both.mapInArrow(rank, f"query {kind}, neighbour {kind}, cosine double")
     # each query has at most k rows of a shard
-    from pyspark.sql import Window
-
     order = Window.partitionBy("query").orderBy(F.desc("cosine"), "neighbour")
     return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
 
