@@ -36,6 +36,17 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def p2_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """For every row whose number (at the end of its key) is divisible by 20 the 5 most similar rows of its table, with their cosines."""
+    parts = []
+    for field, name in VECTORS.items():
+        rows = current(spark, d, name, field)
+        number = F.regexp_extract("key", "([0-9]+)$", 1).try_cast("bigint")
+        near = neighbours.nearest(rows, "key", field, rows.filter(number % 20 == 0).select("key"))
+        parts.append(near.select(F.lit(field).alias("field"), "query", "neighbour", F.round("cosine", 6).alias("cosine"), "place"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return p3_pieces(spark, d).filter("piece = 1").select("id", "boundary")
 
@@ -129,5 +140,5 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_one_form, p2_found, p3_found, p3_pieces, p4_found, p4_groups, p5_found, p5_residuals, p6_found, p6_stretches, p7_ids, p8_mixture, p8_shares, p9_found)
+    for f in (p1_found, p1_one_form, p2_found, p2_neighbours, p3_found, p3_pieces, p4_found, p4_groups, p5_found, p5_residuals, p6_found, p6_stretches, p7_ids, p8_mixture, p8_shares, p9_found)
 }
