@@ -37,11 +37,11 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_neighbours(spark: SparkSession, d: str) -> DataFrame:
-    """For every row whose number (at the end of its key) is divisible by 20 the 5 most similar rows of its table, with their cosines."""
+    """For every row whose number (that of its chunk) is divisible by 20 the 5 most similar rows of its table, with their cosines."""
     parts = []
     for field, name in VECTORS.items():
         rows = current(spark, d, name, field)
-        number = F.regexp_extract("key", "([0-9]+)$", 1).try_cast("bigint")
+        number = F.regexp_extract("key", "_([0-9]+)(#[0-9]+)?$", 1).try_cast("bigint")
         near = neighbours.nearest(rows, "key", field, rows.filter(number % 20 == 0).select("key"))
         parts.append(near.select(F.lit(field).alias("field"), "query", "neighbour", F.round("cosine", 6).alias("cosine"), "place"))
     return reduce(DataFrame.unionByName, parts)
