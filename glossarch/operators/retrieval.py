@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossarch.operators.vectors import dot, unit_matrix
+from glossarch.operators.vectors import unit_matrix
 
 K1, B = 1.5, 0.75
 DENSE, SPARSE = 0.6, 0.4
@@ -64,22 +64,98 @@ def prefix_df(postings: DataFrame) -> DataFrame:
     return postings.select("doc", "seq", "term", (F.row_number().over(order) - 1).cast("bigint").alias("df"))
 
 
-def bm25_history(passages: DataFrame, text: str = "text", history_text: str | None = None) -> DataFrame:
-    """``doc, seq, hist, bm25`` for pairs with ``hist < seq`` that share a term.
-
-    ``passages`` has ``doc, seq`` and the texts; the statistics of query ``seq`` are those of the passages before it. The
-    number of earlier passages with a term is the number of pairs that meet on it, so nothing is recomputed per query.
+#: passages of a block of history, and blocks of queries that one task takes of a document
+HISTORY_BLOCK, QUERY_BLOCKS = 256, 8
+
+
+def _score_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Scores of each pair of blocks (queries ``q``, history ``h``): all pairs of passages with the history before the query."""
+    held, postings, lengths, vectors, whole = None, {}, None, {}, {}
+    for batch in batches:
+        for row in range(batch.num_rows):
+            part = batch.slice(row, 1)
+            doc, place = part.column("doc")[0].as_py(), part.column("hb")[0].as_py()
+            if held != (doc, place):
+                held, hist = (doc, place), part.column("h")[0].as_py()
+                postings, lengths = {}, np.array([len(e["tokens"]) for e in hist], float)
+                for j, e in enumerate(hist):
+                    counts: dict[str, int] = {}
+                    for t in e["tokens"]:
+                        counts[t] = counts.get(t, 0) + 1
+                    for t, f in counts.items():
+                        postings.setdefault(t, []).append((j, f))
+                postings = {t: np.array(x, float).T for t, x in postings.items()}
+                seqs = np.array([e["seq"] for e in hist])
+                # usable vectors by size: their places and a matrix
+                whole = {}
+                for j, e in enumerate(hist):
+                    if e["v"] is not None and None not in e["v"]:
+                        whole.setdefault(len(e["v"]), []).append(j)
+                vectors = {n: np.array([hist[j]["v"] for j in at], float) for n, at in whole.items()}
+            out: list[list[np.ndarray]] = [[], [], [], []]
+            for e in part.column("q")[0].as_py():
+                before = np.flatnonzero(seqs < e["seq"])
+                if not len(before):
+                    continue
+                sparse = np.zeros(len(seqs))
+                hits = [(postings[t["term"]], t["df"]) for t in e["terms"] or () if t["term"] in postings]
+                if hits and e["mean"]:
+                    at = np.concatenate([h[0] for h, _ in hits]).astype(int)
+                    tf = np.concatenate([h[1] for h, _ in hits])
+                    df = np.repeat([d for _, d in hits], [h.shape[1] for h, _ in hits])
+                    # terms without an earlier passage meet later ones of the block only; those are not kept
+                    part_of = np.log(1 + (e["n"] - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[at] / e["mean"]))
+                    early = seqs[at] < e["seq"]
+                    sparse = np.bincount(at[early], part_of[early], minlength=len(seqs))
+                out[0].append(np.full(len(before), e["seq"]))
+                out[1].append(seqs[before])
+                dense = np.zeros(len(seqs))
+                if e["v"] is not None and None not in e["v"] and len(e["v"]) in vectors:
+                    dense[whole[len(e["v"])]] = vectors[len(e["v"])] @ np.array(e["v"], float)
+                out[2].append(dense[before])
+                out[3].append(sparse[before])
+            if out[0]:
+                seq, hist_seq, dense, bm25 = map(np.concatenate, out)
+                yield pa.RecordBatch.from_arrays([pa.array([doc] * len(seq), pa.string()), pa.array(seq.astype(np.int64)), pa.array(hist_seq.astype(np.int64)), pa.array(dense), pa.array(bm25)], ["doc", "seq", "hist", "dense", "bm25"])
+
+
+def history_scores(passages: DataFrame, text: str = "text", vector: str | None = None, history_text: str | None = None, history_vector: str | None = None) -> DataFrame:
+    """``doc, seq, hist, dense, bm25`` for every pair of a passage and an earlier one of its document.
+
+    ``passages`` has ``doc, seq``, texts and vectors; (doc, seq) is unique. The BM25 statistics of query ``seq`` are those of the passages before it: their
+    number, mean length and document frequencies are running sums, so nothing is recomputed per query. Passages are
+    gathered in blocks of ``HISTORY_BLOCK``; blocks of one document meet, the queries of a long document spread over several tasks.
     """
-    hist = term_frequency(passages, ["doc", "seq"], history_text or text).select("doc", "term", F.col("seq").alias("hist"), "tf")
-    asked = passages.select("doc", "seq", F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
-    met = asked.join(hist, ["doc", "term"]).filter("hist < seq")
-    met = met.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("doc", "seq", "term")))
-    lengths = passages.select("doc", "seq", F.size(tokens(F.coalesce(F.col(history_text or text), F.lit("")))).alias("len"))
+    shown = history_text or text
+    none = F.lit(None).cast("array<double>")
+    v, hv = (F.col(c).cast("array<double>") if c else none for c in (vector, history_vector or vector))
+    empty = F.lit("")
     before = Window.partitionBy("doc").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    stats = lengths.select("doc", "seq", F.count("len").over(before).alias("n"), F.avg("len").over(before).alias("mean"))
-    met = met.join(stats, ["doc", "seq"]).join(lengths.select("doc", F.col("seq").alias("hist"), "len"), ["doc", "hist"])
-    part = idf(F.col("n"), F.col("df")) * saturation(F.col("tf"), F.col("len"), F.col("mean"))
-    return met.groupBy("doc", "seq", "hist").agg(F.sum(part).alias("bm25"))
+    rows = passages.select("doc", F.col("seq").cast("bigint").alias("seq"), tokens(F.coalesce(F.col(text), empty)).alias("asked"), tokens(F.coalesce(F.col(shown), empty)).alias("tokens"), v.alias("v"), hv.alias("hv"))
+    rows = rows.withColumn("n", F.count("seq").over(before)).withColumn("mean", F.avg(F.size("tokens")).over(before))
+    rows = rows.withColumn("block", F.floor(F.col("n") / HISTORY_BLOCK).cast("int"))
+    # earlier passages that hold a term: a running count over the occurrences in history
+    asked = rows.select("doc", "seq", F.explode(F.array_distinct("asked")).alias("term"), F.lit(0).alias("held"))
+    held = rows.select("doc", "seq", F.explode(F.array_distinct("tokens")).alias("term"), F.lit(1).alias("held"))
+    running = Window.partitionBy("doc", "term").orderBy("seq", "held").rowsBetween(Window.unboundedPreceding, 0)
+    known = asked.unionByName(held).withColumn("df", F.sum("held").over(running)).filter("held = 0 and df > 0")
+    terms = known.groupBy("doc", "seq").agg(F.collect_list(F.struct("term", "df")).alias("terms"))
+    spread = F.floor(F.max("block").over(Window.partitionBy("doc")) / QUERY_BLOCKS).cast("int") + 1
+    sized = rows.withColumn("spread", spread)
+    queries = sized.join(terms, ["doc", "seq"], "left").groupBy("doc", "block", "spread").agg(F.collect_list(F.struct("seq", "n", "mean", "v", "terms")).alias("q"))
+    queries = queries.select("doc", (F.col("block") % F.col("spread")).alias("salt"), F.col("block").alias("qb"), "q")
+    history = sized.groupBy("doc", "block", "spread").agg(F.collect_list(F.struct("seq", "tokens", F.col("hv").alias("v"))).alias("h"))
+    history = history.select("doc", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)).alias("salt"), F.col("block").alias("hb"), "h")
+    # blocks are few and heavy: adaptive execution, which goes by bytes, must not put them in one task
+    tasks = int(passages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    history, queries = (side.repartition(tasks, "doc", "salt") for side in (history, queries))
+    met = history.join(queries, ["doc", "salt"]).filter("hb <= qb").select("doc", "hb", "h", "q")
+    return met.mapInArrow(_score_blocks, "doc string, seq bigint, hist bigint, dense double, bm25 double")
+
+
+def bm25_history(passages: DataFrame, text: str = "text", history_text: str | None = None) -> DataFrame:
+    """``doc, seq, hist, bm25`` for pairs with ``hist < seq`` that share a term."""
+    return history_scores(passages, text, None, history_text).filter("bm25 > 0").select("doc", "seq", "hist", "bm25")
 
 
 def hybrid_history(passages: DataFrame, text: str = "text", vector: str = "emb", history_text: str | None = None, history_vector: str | None = None, dense: float = DENSE, sparse: float = SPARSE) -> DataFrame:
@@ -87,13 +163,9 @@ def hybrid_history(passages: DataFrame, text: str = "text", vector: str = "emb",
 
     Vectors are compared as they are (cosine only if normalised); a pair without comparable vectors has dense score 0.
     """
-    asked = passages.select("doc", "seq", F.col(vector).alias("qv"))
-    hist = passages.select("doc", F.col("seq").alias("hist"), F.col(history_vector or vector).alias("hv"))
-    pairs = asked.join(hist, "doc").filter("hist < seq").select("doc", "seq", "hist", F.coalesce(dot(F.col("qv"), F.col("hv")), F.lit(0.0)).alias("dense"))
-    pairs = pairs.join(bm25_history(passages, text, history_text), ["doc", "seq", "hist"], "left").fillna(0.0, ["bm25"])
+    pairs = history_scores(passages, text, vector, history_text, history_vector)
     over = Window.partitionBy("doc", "seq")
-    score = dense * scaled(F.col("dense"), over) + sparse * scaled(F.col("bm25"), over)
-    return pairs.withColumn("score", score)
+    return pairs.withColumn("score", dense * scaled(F.col("dense"), over) + sparse * scaled(F.col("bm25"), over))
 
 
 def topk(scored: DataFrame, query: list[str], score: str, order: str, k: int) -> DataFrame:

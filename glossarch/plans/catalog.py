@@ -214,12 +214,13 @@ def prefix_df(spark, d):
 def bm25_history(spark, d):
     rows = _passages(spark, d).withColumn("seq", F.col("pos"))
     best = retrieval.topk(retrieval.bm25_history(rows), ["doc", "seq"], "bm25", "hist", 10)
-    return best.select("doc", F.col("seq").alias("pos"), "hist", F.round("bm25", 6).alias("bm25"), "place")
+    return best.select("doc", F.col("seq").cast("int").alias("pos"), F.col("hist").cast("int").alias("hist"), F.round("bm25", 6).alias("bm25"), "place")
 
 
 def _history(spark, d):
     rows = _passages(spark, d).withColumn("seq", F.col("pos"))
-    return rows, retrieval.topk(retrieval.hybrid_history(rows), ["doc", "seq"], "score", "hist", 2)
+    best = retrieval.topk(retrieval.hybrid_history(rows), ["doc", "seq"], "score", "hist", 2)
+    return rows, best.withColumns({c: F.col(c).cast("int") for c in ("seq", "hist")})
 
 
 @query(f"WITH {sql.HISTORY} SELECT doc, pos, hist, round(score, 6) AS score, place FROM top")
