@@ -12,7 +12,7 @@ _fallback: list[str] = []
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session. Only where it is unset (single machine, tests) a local folder is made."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder.rstrip("/")
     if not _fallback:
