@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from glossarch.operators.cleaning import NOT_S, S
 
+# Tokens of a window and of the overlap, and the forms of a number a chunk may start with.
 SIZE, OVERLAP = 100, 20
+START_NUMBER = r"\p{Nd}+[a-zA-Z]?\)?\.?"
 
+#: what counts as one token in the stand-in for a tokenizer
 WORD_COST = r"[A-Za-z0-9]+|[^A-Za-z0-9]"
 
 
@@ -33,13 +36,13 @@ def wordy(word: Column) -> Column:
 def start_valid(word: Column) -> Column:
     """Whether a chunk may start with the word: after leading symbols, a letter or a bare number with an optional list mark."""
     bare = F.regexp_replace(word, r"^[^\p{L}\p{N}_]+", "")
-    return bare.rlike(r"^\p{Nd}+[a-zA-Z]?\)?\.?$") | bare.rlike(r"^\p{L}")
+    return bare.rlike(f"^{START_NUMBER}$") | bare.rlike(r"^\p{L}")
 
 
 _COST = re.compile(WORD_COST)
 _WORDY = re.compile("[A-Za-z0-9]")
 _SYMBOLS = re.compile(r"^[^\w]+")
-_NUMBER = re.compile(r"\d+[a-zA-Z]?\)?\.?")
+_NUMBER = re.compile(START_NUMBER.replace(r"\p{Nd}", r"\d"))
 
 
 def default_cost(word: str) -> int:
@@ -118,7 +121,7 @@ def chunked(df: DataFrame, key: str, text: str, size: int = SIZE, overlap: int =
     return rows.mapInPandas(run, "doc string, seq int, id string, first int, last int, cost int, chunk string")
 
 
-#: place of an id without a number at its end
+# Fixed value: place of an id without a number at its end.
 NO_SUFFIX = 1_000_000_000
 
 

@@ -6,8 +6,6 @@ every step, so that the result does not depend on a regex dialect.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,12 +13,19 @@ from pyspark.sql import functions as F
 SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 S, NOT_S = f"[{SPACE}]", f"[^{SPACE}]"
 
-#: characters written as an ASCII one
+# Characters written as an ASCII one.
 PLAIN = {"‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-", "\xa0": " "}
 
+# The patterns in their order, by step, and what takes their place.
+PATTERNS = {
+    "newlines": [(r"\r\n?", "\n"), (rf"\n{S}*\n{S}*\n+", "\n\n")],
+    "markers": [(rf"\((\p{{Nd}}+|[a-z])\){S}*\n+{S}*", "($1) "), (rf"\){S}*\n+{S}*\(", ")\n("), (rf"\(([a-z])\){S}*\n{S}*", "($1) ")],
+    "join_lines": [(rf"(?<![.!?;:])\n(?={NOT_S})", " ")],
+    "spacing": [(r"(?md)^[ \t]+(\([a-z0-9]+\))", "$1"), (" {2,}", " "), (r"[ \t]*\n[ \t]*", "\n"), (rf"{S}+([,.;:])", "$1"), (rf"^{S}+|{S}+\z", "")],
+}
 
-def _sub(pattern: str, to: str) -> Callable[[Column], Column]:
-    return lambda c: F.regexp_replace(c, pattern, to)
+#: the steps in their order
+STEPS = ("quotes", *PATTERNS)
 
 
 def plain_punctuation(c: Column) -> Column:
@@ -28,31 +33,14 @@ def plain_punctuation(c: Column) -> Column:
     return F.translate(c, "".join(PLAIN), "".join(PLAIN.values()))
 
 
-line_ends = _sub(r"\r\n?", "\n")
-blank_lines = _sub(rf"\n{S}*\n{S}*\n+", "\n\n")
-marker_joined = _sub(rf"\((\p{{Nd}}+|[a-z])\){S}*\n+{S}*", "($1) ")
-marker_gap = _sub(rf"\){S}*\n+{S}*\(", ")\n(")
-letter_marker = _sub(rf"\(([a-z])\){S}*\n{S}*", "($1) ")
-sentence_lines = _sub(rf"(?<![.!?;:])\n(?={NOT_S})", " ")
-marker_indent = _sub(r"(?md)^[ \t]+(\([a-z0-9]+\))", "$1")
-single_spaces = _sub(" {2,}", " ")
-trimmed_lines = _sub(r"[ \t]*\n[ \t]*", "\n")
-tight_punctuation = _sub(rf"{S}+([,.;:])", "$1")
-stripped = _sub(rf"^{S}+|{S}+\z", "")
-
-STEPS: dict[str, list[Callable[[Column], Column]]] = {
-    "quotes": [plain_punctuation],
-    "newlines": [line_ends, blank_lines],
-    "markers": [marker_joined, marker_gap, letter_marker],
-    "join_lines": [sentence_lines],
-    "spacing": [marker_indent, single_spaces, trimmed_lines, tight_punctuation, stripped],
-}
-
-
 def steps(c: Column, *names: str) -> Column:
+    """Some of the steps: ``quotes``, ``newlines`` (ends of lines, runs of blank lines), ``markers`` (list markers join their text),
+    ``join_lines`` (line breaks inside a sentence), ``spacing``."""
     for name in names:
-        for step in STEPS[name]:
-            c = step(c)
+        if name == "quotes":
+            c = plain_punctuation(c)
+        for pattern, to in PATTERNS.get(name, ()):
+            c = F.regexp_replace(c, pattern, to)
     return c
 
 

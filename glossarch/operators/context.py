@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 #: kinds of candidates in the order in which the first occurrence of an id wins
 KINDS = ["local_before", "local_after", "doc", "system"]
+# What parts texts of neighbours and of other candidates, and the note for an empty reply.
 PARAGRAPH, RULE = "\n\n", "\n\n---\n\n"
 NO_CONTEXT = "(No additional context found.)"
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from glossarch.operators.vectors import unit_matrix
 
+# Parameters of BM25, and the weights of the two scores.
 K1, B = 1.5, 0.75
 DENSE, SPARSE = 0.6, 0.4
 
