@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from glossarch.plans.scratch import written
 
-#: slices of each of the two histograms
-SLICES = 1 << 12
+#: slices of each of the two histograms, and the rows the driver takes of one at most; with very many sources slices are fewer
+SLICES, ROWS = 1 << 12, 1 << 20
 
 
 @dataclass
@@ -72,9 +72,10 @@ def mixture(counted: DataFrame, weights: DataFrame, total: float | None = None,
     part. ``total`` is the wanted size, by default that of all documents taking part. ``weights`` (one row per source) is collected.
     """
     known = _weights(weights)
-    slices = F.pmod(F.xxhash64(F.lit(seed), F.col("key")), F.lit(SLICES * SLICES))
-    rows = counted.filter("source is not null and tokens > 0").select("key", "source", "tokens", slices.alias("h"))
-    rows = written(rows.select("key", "source", "tokens", F.floor(F.col("h") / SLICES).cast("int").alias("coarse"), (F.col("h") % SLICES).cast("int").alias("fine")), "counted")
+    slices = min(SLICES, 1 << max(16, ROWS // max(len(known), 1)).bit_length() - 1)
+    place = F.pmod(F.xxhash64(F.lit(seed), F.col("key")), F.lit(slices * slices))
+    rows = counted.filter("source is not null and tokens > 0").select("key", "source", "tokens", place.alias("h"))
+    rows = written(rows.select("key", "source", "tokens", F.floor(F.col("h") / slices).cast("int").alias("coarse"), (F.col("h") % slices).cast("int").alias("fine")), "counted")
     weighted = rows.filter(F.col("source").isin([s for s, (w, m) in known.items() if w > 0 and m > 0]))
     have = {r["source"]: r["n"] for r in weighted.groupBy("source").agg(F.sum("tokens").alias("n")).collect()}
     plan = [Allotment(s, w, m, have.get(s, 0)) for s, (w, m) in sorted(known.items())]
@@ -95,7 +96,7 @@ def mixture(counted: DataFrame, weights: DataFrame, total: float | None = None,
                 out[r["source"]] = (r[column], left - r["n"])
         return out
 
-    # at most SLICES rows per source
+    # at most ``slices`` rows per source
     coarse = cut(weighted.groupBy("source", "coarse").agg(F.sum("tokens").alias("n")), "coarse", missing)
     spark = counted.sparkSession
     sides = "source string, coarse int, left double"
@@ -108,7 +109,7 @@ def mixture(counted: DataFrame, weights: DataFrame, total: float | None = None,
     edges = {r["source"]: r["coarse"] for r in first.collect()}
     for s in plan:
         if s.source in coarse:
-            s.limit = (edges.get(s.source, SLICES), fine[s.source][0])
+            s.limit = (edges.get(s.source, slices), fine[s.source][0])
 
     table = spark.createDataFrame([(s.source, int(s.epochs + 1e-9), *s.limit) for s in plan if s.tokens > 0], "source string, whole int, edge int, edge_fine int")
     once_more = (F.col("coarse") < F.col("edge")) | ((F.col("coarse") == F.col("edge")) & (F.col("fine") <= F.col("edge_fine")))
