@@ -32,13 +32,16 @@ CURRENCIES = ("EUR", "USD", "GBP", "CHF", "€", "$", "£")
 
 #: words of the windows for shares and for repetition, and how often a phrase repeats within the latter
 NEAR, WIDE, TIMES = 24, 64, 3
-#: a passage that comes again word for word over more words than this is no keyword
+#: a passage of code, of a form or of prose that comes again word for word over more words than this is no keyword
 VERBATIM = 12
+#: how often a phrase occurs in the whole text to repeat at any distance, where the text around it is a bare list
+OFTEN = 5
 #: labelled rows the thresholds are fitted on at most, and labelled pages a language needs to have its own
 LABELS, ENOUGH = 20_000, 25
 
 _LINK = re.compile(r"https?://|www\.|[\w-]\.[a-z]{2,10}/|href=", re.IGNORECASE)
 _SEPARATOR = re.compile(r"[/|>»•·;,\-–~*]+")
+_MARK = re.compile(r"[(){}\[\]<>=_\\]|[.!?:。！？।]['\"»”)]*$")
 _EDGES = ".,;:!?()[]\"'»«|/#"
 
 
@@ -53,6 +56,9 @@ class Thresholds:
     with_prices: float = 0.3
     numbers: float = 0.3
     content: float = 0.5
+    #: of a bare list, the most function words, and the most sentence ends, brackets and numbers together
+    list_function_words: float = 0.2
+    list_marks: float = 0.1
     part: float = 0.5
     by_language: dict[str, float] = field(default_factory=dict)
 
@@ -60,7 +66,9 @@ class Thresholds:
         return self.by_language.get(language or "", self.repeated)
 
 
-LINK, TAG, PRICE, FUNCTION, NUMBER, SEPARATOR = (1 << i for i in range(6))
+LINK, TAG, PRICE, FUNCTION, NUMBER, SEPARATOR, MARK = (1 << i for i in range(7))
+#: bits of a word's code below its length, and the greatest length
+BITS, LONGEST = 7, (1 << 25) - 1
 
 
 class _Words(dict):
@@ -78,8 +86,9 @@ class _Words(dict):
         marks |= PRICE * (word.startswith(CURRENCIES) and not word[-1].isalpha() or word in CURRENCIES or word.endswith(("€", "$", "£")))
         marks |= NUMBER * (not any(map(str.isalpha, word)) and any(map(str.isdigit, word)))
         marks |= SEPARATOR * bool(word[-1] in ",;/|>" or _SEPARATOR.fullmatch(word))
+        marks |= MARK * bool(_MARK.search(word) or marks & NUMBER)
         name = (xxhash.xxh3_64_intdigest(bare.encode("utf-8", "surrogatepass")) & 0x7FFFFFFF) | 1 if bare else 0
-        code = name << 32 | min(len(word), (1 << 26) - 1) << 6 | marks
+        code = name << 32 | min(len(word), LONGEST) << BITS | marks
         if len(self) < self.room:
             self[word] = code
         return code
@@ -109,8 +118,8 @@ def judged(texts: list[str | None], look: _Words) -> tuple[np.ndarray, np.ndarra
     ends = np.cumsum(counts)
     start, end = np.repeat(ends - counts, counts), np.repeat(ends, counts)
     at = np.arange(len(code))
-    name, chars = code >> 32, (code >> 6 & ((1 << 26) - 1)) + 1
-    flag = {k: (code & k) > 0 for k in (LINK, TAG, PRICE, FUNCTION, NUMBER, SEPARATOR)}
+    name, chars = code >> 32, (code >> BITS & LONGEST) + 1
+    flag = {k: (code & k) > 0 for k in (LINK, TAG, PRICE, FUNCTION, NUMBER, SEPARATOR, MARK)}
 
     def span(width: int) -> tuple[np.ndarray, np.ndarray]:
         first = np.maximum(start, np.minimum(at - width // 2, end - width))
@@ -121,7 +130,10 @@ def judged(texts: list[str | None], look: _Words) -> tuple[np.ndarray, np.ndarra
     listed = (share[LINK] >= t.links) | (share[TAG] >= t.hash_tags) | ((share[PRICE] >= t.prices) & (share[FUNCTION] <= t.with_prices))
     listed |= (share[SEPARATOR] >= t.separators) & (share[FUNCTION] <= t.function_words) & (share[NUMBER] <= t.numbers)
 
-    # pairs of neighbouring words, not both function words, that occur TIMES times within WIDE words
+    # keywords in a row: hardly a function word, sentence end, bracket or number, unlike code, forms and prose
+    bare = (_window(_sums(flag[FUNCTION]), *wide) <= t.list_function_words) & (_window(_sums(flag[MARK]), *wide) <= t.list_marks)
+
+    # pairs of neighbouring words, not both function words, that occur TIMES times within WIDE words, or OFTEN times in a bare list
     f, n = flag[FUNCTION], len(code)
     pairs = np.flatnonzero((owner[1:] == owner[:-1]) & (name[1:] > 0) & (name[:-1] > 0)) if n > 1 else np.empty(0, np.int64)
     p = pairs[np.lexsort((pairs, name[pairs + 1], name[pairs], owner[pairs]))]
@@ -130,13 +142,17 @@ def judged(texts: list[str | None], look: _Words) -> tuple[np.ndarray, np.ndarra
         q, r = p[:-step], p[step:]
         return (owner[q] == owner[r]) & (name[q] == name[r]) & (name[q + 1] == name[r + 1])
 
-    dense, apart = np.zeros(len(p), bool), np.zeros(n + 1, np.int64)
+    dense, far, apart = np.zeros(len(p), bool), np.zeros(len(p), bool), np.zeros(n + 1, np.int64)
     if len(p) >= TIMES:
         close = same(TIMES - 1) & (p[TIMES - 1 :] - p[: -(TIMES - 1)] <= WIDE)
         for k in range(TIMES):
             dense[k : len(p) - TIMES + 1 + k] |= close
-        # a passage of more than VERBATIM words that comes again as a whole (code, a form) is not a keyword
+        # a passage of more than VERBATIM words that comes again as a whole is not a keyword, unless it is a bare list
         apart[p[1:]] = np.where(same(1), p[1:] - p[:-1], 0)
+    if len(p) >= OFTEN:
+        many = same(OFTEN - 1)
+        for k in range(OFTEN):
+            far[k : len(p) - OFTEN + 1 + k] |= many
     edges = np.flatnonzero(np.diff(apart, prepend=-1))
     length = np.repeat(np.diff(edges, append=n + 1), np.diff(edges, append=n + 1))
     whole = ((length >= VERBATIM) & (apart > VERBATIM))[:n]
@@ -144,11 +160,15 @@ def judged(texts: list[str | None], look: _Words) -> tuple[np.ndarray, np.ndarra
     d = p[dense & ~(f[p] & f[p + 1])] if len(p) else p
     again[d] = again[d + 1] = True
     # both the passage and what it repeats
+    exempt = np.zeros(n, bool)
     for i in (0, 1):
         back = np.flatnonzero(whole) + i
-        again[back[back < n]] = False
+        exempt[back[back < n]] = True
         back = np.flatnonzero(whole) - apart[:n][whole] + i
-        again[back[back >= 0]] = False
+        exempt[back[back >= 0]] = True
+    again &= ~exempt | bare
+    d = p[far & bare[p] & ~(f[p] & f[p + 1])] if len(p) else p
+    again[d] = again[d + 1] = True
     repeated = _window(_sums(again), *wide) + 2 * _window(_sums(flag[LINK]), *wide)
     # lists of people or duties repeat their function words and one noun; keywords repeat most content words
     content = _window(_sums(~f), *wide)

@@ -58,3 +58,22 @@ def test_held_out_accuracy(spark, sf):
     got = {r["key"] for r in found.collect()}
     want = {r["doc_id"] for r in held.filter("label = 'spam'").collect()}
     assert want and len(got & want) >= 0.95 * len(want) and len(got & want) >= 0.95 * len(got)
+
+
+def found_of(spark, texts):
+    df = spark.createDataFrame([(k, t, "en") for k, t in texts.items()], "doc_id string, text string, lang string")
+    return {r["key"] for r in spam.spam_pages(df, "doc_id", "text", "lang", spam.Thresholds()).collect()}
+
+
+def test_lists_pasted_many_times(spark):
+    lists = {f"{n} by {c}": "\n".join([" ".join(f"brand{i}" for i in range(n))] * c) for n in (8, 13, 16, 24, 40, 64, 100, 200) for c in (5, 40)}
+    lists["places"] = " ".join(["hotels in paris london flights rome madrid lisbon offers vienna prague deals berlin munich"] * 40)
+    fine = {
+        "code": "for (i = 0; i < n; i++) { total += row[i].value; } if (total > limit) { log.warn(total); return null; } cache.put(key, total);\n" * 12,
+        "form": "Name: ______ Street: ______ Town: ______ Postcode: ______ Telephone: ______ Signature: ______ Date: ______ Witness: ______\n" * 12,
+        "greek": "Η επιτροπή εξετάζει κάθε έκθεση υπό το φως της ετήσιας επισκόπησης. Το συμβούλιο μπορεί να ζητήσει στοιχεία.\n" * 12,
+        "prose": (PROSE + "\n") * 40,
+        "table": "\n".join(f"north {i} south {i * 3} east {i * 7} west {i * 9} total {i * 20}" for i in range(40)),
+        "twice": "\n".join([" ".join(f"member{i}" for i in range(40))] * 2),
+    }
+    assert found_of(spark, lists | fine) == set(lists)
