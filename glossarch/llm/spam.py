@@ -1,7 +1,7 @@
 """Problem 9: pages of repeated keywords, lists of links, or tags.
 
-Each word of a text is judged by the window of words around it: share of words in phrases that repeat nearby, of links, hash tags, prices
-and separators, and of function words, which lists of tags lack. A text is such a page if more than half of its
+Each word of a text is judged by the window of words around it: share of words in phrases that repeat, of links and characters of
+their text, hash tags, prices and separators, of the most frequent content word, of lines that occur many times, and of function words, which lists of tags lack. A text is such a page if more than half of its
 characters are in words so judged. The threshold of repetition is fitted per language on labelled rows.
 
 Work is done on whole batches: words become rows of a table of properties (each distinct word is looked at once per
@@ -11,6 +11,7 @@ worker), windows are differences of running sums, repetition comes from one sort
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -41,6 +42,8 @@ LABELS, ENOUGH = 20_000, 25
 
 _LINK = re.compile(r"https?://|www\.|[\w-]\.[a-z]{2,10}/|href=", re.IGNORECASE)
 _SEPARATOR = re.compile(r"[/|>»•·;,\-–~*]+")
+#: what readers see of a link, in HTML and Markdown
+_ANCHOR = re.compile(r"<a\s[^>]*>(.*?)</a\s*>|\[([^\]\[]*)\]\(\s*[^\s)]+[^)]*\)", re.IGNORECASE | re.DOTALL)
 _MARK = re.compile(r"[(){}\[\]<>=_\\]|[.!?:。！？।]['\"»”)]*$")
 _EDGES = ".,;:!?()[]\"'»«|/#"
 
@@ -59,6 +62,12 @@ class Thresholds:
     #: of a bare list, the most function words, and the most sentence ends, brackets and numbers together
     list_function_words: float = 0.2
     list_marks: float = 0.1
+    #: of a bare list, the share of one content word of ``word_length`` characters or more, and of words in lines that occur OFTEN times
+    top_word: float = 0.3
+    word_length: int = 4
+    lines: float = 0.5
+    #: of characters, those in the text of links
+    link_text: float = 0.5
     part: float = 0.5
     by_language: dict[str, float] = field(default_factory=dict)
 
@@ -102,15 +111,46 @@ def _sums(flags: np.ndarray) -> np.ndarray:
     return np.concatenate([[0.0], np.cumsum(flags, dtype=np.float64)])
 
 
+def _repeated_lines(text: str) -> np.ndarray | None:
+    """Of every word, whether its line occurs OFTEN times in the text; None if no line does."""
+    lines = text.splitlines()
+    if len(lines) < OFTEN:
+        return None
+    plain = [" ".join(line.lower().split()) for line in lines]
+    count = Counter(plain)
+    if max((n for line, n in count.items() if line), default=0) < OFTEN:
+        return None
+    words = [len(line.split()) for line in plain]
+    return np.repeat([count[line] >= OFTEN for line in plain], words)
+
+
+def _link_texts(text: str) -> np.ndarray | None:
+    """Of every word, the part of its characters in the text of links; None if there are no such links."""
+    if "](" not in text and "</a" not in text and "</A" not in text:
+        return None
+    inside = np.zeros(len(text) + 1)
+    for m in _ANCHOR.finditer(text):
+        inside[slice(*m.span(1 if m[1] is not None else 2))] = 1
+    total = _sums(inside)
+    at = np.array([m.span() for m in re.finditer(r"\S+", text)]).reshape(-1, 2)
+    return (total[at[:, 1]] - total[at[:, 0]]) / (at[:, 1] - at[:, 0])
+
+
 def judged(texts: list[str | None], look: _Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of every word of the batch: the text it is in, its characters, whether links, tags or lists make it spam, and
     the share of repetition around it (0 where repetition alone does not count)."""
     t = Thresholds()
     codes: list[int] = []
     counts = np.zeros(len(texts), np.int64)
+    again_lines: dict[int, np.ndarray] = {}
+    anchors: dict[int, np.ndarray] = {}
     for i, text in enumerate(texts):
         if text:
             words = text.split()
+            if (marked := _repeated_lines(text)) is not None:
+                again_lines[len(codes)] = marked
+            if (marked := _link_texts(text)) is not None:
+                anchors[len(codes)] = marked
             codes.extend(map(look.__getitem__, words))
             counts[i] = len(words)
     code = np.array(codes, np.int64)
@@ -133,8 +173,37 @@ def judged(texts: list[str | None], look: _Words) -> tuple[np.ndarray, np.ndarra
     # keywords in a row: hardly a function word, sentence end, bracket or number, unlike code, forms and prose
     bare = (_window(_sums(flag[FUNCTION]), *wide) <= t.list_function_words) & (_window(_sums(flag[MARK]), *wide) <= t.list_marks)
 
+    # one content word between ever different ones: from one occurrence to the next, where it has its share of the window
+    f = flag[FUNCTION]
+    w = np.flatnonzero((name > 0) & ~f & ~flag[MARK] & (chars - 1 >= t.word_length) & (end - start >= NEAR // 2))
+    w = w[np.lexsort((w, name[w], owner[w]))]
+    group = np.cumsum(np.r_[0, (np.diff(owner[w]) != 0) | (np.diff(name[w]) != 0)]) if len(w) else w
+    place = group * (len(code) + 1) + w
+    met = np.searchsorted(place, place - w + wide[1][w]) - np.searchsorted(place, place - w + wide[0][w])
+    top = bare[w] & (met >= t.top_word * (wide[1][w] - wide[0][w]))
+    a, b = w[:-1], w[1:]
+    next_to = (group[1:] == group[:-1]) & top[1:] & top[:-1]
+    reach = np.zeros(len(code) + 1, np.int64)
+    np.add.at(reach, a[next_to], 1)
+    np.add.at(reach, b[next_to] + 1, -1)
+    listed |= np.cumsum(reach)[: len(code)] > 0
+
+    def marked(by: dict[int, np.ndarray]) -> np.ndarray:
+        out = np.zeros(len(code))
+        for first, values in by.items():
+            out[first : first + len(values)] = values
+        return out
+
+    if again_lines:
+        lines = marked(again_lines)
+        listed |= (lines > 0) & bare & (_window(_sums(lines), *wide) >= t.lines) & (end - start >= NEAR // 2)
+    if anchors:
+        shown = _sums(marked(anchors) * chars)
+        size = _sums(chars)
+        listed |= (shown[near[1]] - shown[near[0]] >= t.link_text * (size[near[1]] - size[near[0]])) & (end - start >= NEAR // 2)
+
     # pairs of neighbouring words, not both function words, that occur TIMES times within WIDE words, or OFTEN times in a bare list
-    f, n = flag[FUNCTION], len(code)
+    n = len(code)
     pairs = np.flatnonzero((owner[1:] == owner[:-1]) & (name[1:] > 0) & (name[:-1] > 0)) if n > 1 else np.empty(0, np.int64)
     p = pairs[np.lexsort((pairs, name[pairs + 1], name[pairs], owner[pairs]))]
 

@@ -77,3 +77,23 @@ def test_lists_pasted_many_times(spark):
         "twice": "\n".join([" ".join(f"member{i}" for i in range(40))] * 2),
     }
     assert found_of(spark, lists | fine) == set(lists)
+
+
+def test_one_word_lines_and_link_texts(spark):
+    names = [f"{a}{b}" for a in "abcdefghij" for b in ("loan", "card", "bank", "debt", "fund", "rate")]
+    bad = {
+        "one word": " ".join(f"insurance m{i}" for i in range(300)),
+        "one in three": " ".join(f"insurance m{i} k{i}" for i in range(200)),
+        "lines": "\n".join(names[i * 7**k % 59] for k in range(6) for i in range(60)),
+        "html": " ".join(f'<a href="/p/{i}">Buy new{i} wool{i} coat{i} with free{i} post{i} and gift{i} box{i} for all{i} the family{i} today{i}</a>' for i in range(30)),
+        "markdown": " ".join(f"[Buy new{i} wool{i} coat{i} with free{i} post{i} and gift{i} box{i} for all{i} the family{i} today{i} or later{i}](p{i}.html)" for i in range(30)),
+    }
+    fine = {
+        "attendees": "\n".join(f"Mr Name{i}" for i in range(200)),
+        "articles": "\n".join(f"Article {i} Subject{i} matter{i} scope{i}" for i in range(100)),
+        "defined": "\n".join(f"term{i}: the meaning of thing{i} under rule{i}" for i in range(100)),
+        "some links": " ".join(f'{PROSE} <a href="/p/{i}">see note {i}</a>' for i in range(20)),
+        "lines of code": "\n".join(f"x{i} = f(y{i})\n}}\nelse {{" for i in range(60)),
+        "prose on one word": "The insurance of a member covers the loss of the member, and the insurance ends with the year in which the insurance was made.",
+    }
+    assert found_of(spark, bad | fine) == set(bad)
