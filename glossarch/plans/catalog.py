@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossarch.functions import prompts
+from glossarch.functions import models, prompts
 from glossarch.operators import chunking, cleaning, context, parsing, retrieval, vectors
 from glossarch.operators.upsert import current_rows
 from glossarch.plans import catalog_sql as sql
@@ -442,10 +442,10 @@ def contextualize_stub(spark, d):
 
 @query()
 def contextualize_sequential(spark, d):
-    def first(passage, before, after, history):
-        return (history[0] if history else before[-1] if before else "")[:80]
+    def first(passage, before, after, history, system):
+        return (history or system or before[-1:] or [""])[0][:80]
 
-    return pipeline.contextualize_in_order(_small_chunks(spark, d), first)
+    return pipeline.contextualize_in_order(_small_chunks(spark, d), first, corpus=_corpus(spark, d), judge=models.overlap_judge)
 
 
 def _contextualized(spark, d):
