@@ -2,7 +2,7 @@
 
 ``QUERIES`` maps names to (spark, folder) -> DataFrame, ``ORACLE`` to SQL. Passages are the current rows of ``raw_chunks`` in the
 order of their documents, the external corpus those of ``contextualized_chunks``. Searches of the corpus take the passages whose number
-is divisible by 20 as queries, against all rows.
+is divisible by 20 as queries, against all rows; the two contextualize queries take every passage.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from glossarch.operators import chunking, cleaning, context, parsing, retrieval,
 from glossarch.operators.upsert import current_rows
 from glossarch.plans import catalog_sql as sql
 from glossarch.plans import pipeline
-from glossarch.plans.config import Config
 from glossarch.plans.scratch import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -437,7 +436,7 @@ def _small_chunks(spark, d):
 
 @query()
 def contextualize_stub(spark, d):
-    return pipeline.contextualize(_small_chunks(spark, d), config=Config(system_enabled=False))
+    return pipeline.contextualize(_small_chunks(spark, d), _corpus(spark, d), judge=models.stub_relevance)
 
 
 @query()
