@@ -22,9 +22,9 @@ from glossarch.plans.scratch import written
 
 #: rows the codebooks are fitted on; rows of a shard; visits one copy of a shard serves
 SAMPLE, SHARD, VISITS = 20_000, 16_384, 100_000
-#: entries a query meets at least in a collection of up to ``MEET_ROWS`` rows; beyond, they grow with the root of its size.
-#: Measured for any rows as queries (not only such with close neighbours): recall 0.97 and 0.99 of 198,189 and 130,078 rows.
-MEET, MEET_ROWS = 20_000, 200_000
+#: entries a query meets at least; doubled until the recall of ``PROBES`` of the queries, compared with all rows, is ``RECALL``.
+#: Measured with 20,000 for any rows as queries (not only such with close neighbours): recall 0.97 and 0.99 of 198,189 and 130,078 rows.
+MEET, PROBES, RECALL = 20_000, 64, 0.95
 #: aimed rows per cell, and the largest codebook (a table of all cells stays below a million entries)
 PER_CELL, CODEBOOK = 24, 1_000
 
@@ -91,6 +91,40 @@ def usable(vector, size: int):
     return (F.size(vector) == size) & (squares > 0) & (squares < float("inf"))
 
 
+def _enough(index: DataFrame, books: tuple[np.ndarray, np.ndarray], counts: np.ndarray, number: type, size: int, k: int) -> int:
+    """Entries to meet: ``MEET``, doubled until the walks of a few queries reach ``RECALL`` of their true neighbours' cells."""
+    if counts.sum() <= MEET:
+        return MEET
+    probes = index.filter("asked").orderBy(F.xxhash64("key"), "key").limit(PROBES).select("key", "v").toArrow()
+    if not probes.num_rows:
+        return MEET
+    names, queries = probes["key"].to_pylist(), _units(probes["v"], number, size)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            score = queries @ _units(batch.column(1), number, size).T
+            out: list[tuple[int, float, int]] = []
+            for i, row in enumerate(score):
+                best = np.argpartition(-row, min(k, len(row) - 1))[: k + 1].tolist()
+                out += [(i, float(row[j]), batch.column(2)[j].as_py()) for j in best if batch.column(0)[j].as_py() != names[i]]
+            probe, cosine, cell = zip(*out) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(probe, pa.int32()), pa.array(cosine, pa.float64()), pa.array(cell, pa.int32())], ["probe", "cosine", "cell"])
+
+    met = index.select("key", "v", "cell").mapInArrow(search, "probe int, cosine double, cell int")
+    order = Window.partitionBy("probe").orderBy(F.desc("cosine"), "cell")
+    true = met.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k).select("probe", "cell").collect()  # at most PROBES * k rows
+    first, second = ((b**2).sum(1) - 2 * q @ b.T for b, q in zip(books, (queries[:, : size // 2], queries[:, size // 2 :])))
+    meet, total = MEET, int(counts.sum())
+    while meet < total:
+        walked = [set(walk(first[i], second[i], counts, meet)) for i in range(len(names))]
+        if sum(r["cell"] in walked[r["probe"]] for r in true) >= RECALL * len(true):
+            break
+        meet *= 2
+    return meet
+
+
 def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5, size: int = 64, meet: int | None = None) -> DataFrame:
     """``query, neighbour, cosine, place``: for each key in ``queries`` (its one column) the ``k`` most similar rows.
 
@@ -101,7 +135,6 @@ def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5
     rows = df.select(F.col(key).alias("key"), F.col(vector).alias("v")).filter(usable(F.col("v"), size))
     asked = queries.select(F.col(queries.columns[0]).alias("key")).filter("key is not null").distinct().withColumn("asked", F.lit(True))
     n = df.count()
-    meet = meet or int(MEET * max(1.0, (n / MEET_ROWS) ** 0.5))
     share = max(1, n // SAMPLE)
     sample = rows.filter(F.pmod(F.xxhash64("key"), F.lit(share)) == 0).select("v").limit(2 * SAMPLE).toArrow()
     if sample.num_rows == 0 and n > 0:
@@ -134,6 +167,7 @@ def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5
     copies = index.groupBy("cell", F.xxhash64("v").alias("h")).count()
     for r in copies.groupBy("cell").agg(F.sum(F.least("count", F.lit(k + 1))).alias("n")).toArrow().to_pylist():
         counts[r["cell"]] = r["n"]
+    meet = meet or _enough(index, books, counts, number, size, k)
     shards = np.maximum(1, -(-counts // SHARD))  # of a cell
     first = np.zeros(len(counts), np.int64)
     at = filled = 0

@@ -69,3 +69,15 @@ def test_walk_is_in_order():
         assert sorted(cells) == np.flatnonzero(counts).tolist()
         sums = [a[c // len(b)] + b[c % len(b)] for c in cells]
         assert sums == sorted(sums)
+
+
+def test_meets_enough_of_scattered_vectors(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "MEET", 60)
+    rng = np.random.default_rng(5)
+    rows = [(f"n{i:04}", v.tolist()) for i, v in enumerate(rng.normal(size=(3000, 8)).astype(np.float32))]
+    df = spark.createDataFrame(rows, "id string, v array<float>")
+    names = [n for n, _ in rows][::15]
+    got, want = found(df, spark.createDataFrame([(n,) for n in names], "q string")), brute(rows, set(names), 5)
+    hits = sum(len(set(got[q]) & set(w)) for q, w in want.items())
+    print("recall", hits / (5 * len(want)))
+    assert hits >= 0.9 * 5 * len(want)
