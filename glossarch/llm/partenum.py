@@ -7,10 +7,14 @@ set enumerates, part by part, the pairs of its first elements, and sufficiently
 grouped in bands with their own number of parts; a set signs in its own band and, if it may have a smaller partner
 there, in the band below. In the lowest band, of very small sets, the single elements are the signatures.
 
-Any order makes this exact; a good one puts rare elements first. It comes from counts over all records in a table of
-bounded size, which can only overestimate: an element counted once is in no other set, and signatures of it need not be sent.
-If the rarest shared element is counted at most ``rare`` times, it is among the first a - ceil(g * a) + 1 of both sets and
+Any order makes this exact; a good one puts rare elements first. It comes from counts over all distinct sets: sets are packed
+in chunks, a chunk sends each bucket of the domain its distinct elements once and gets their counts back, so that neither tasks nor driver
+hold more than one bucket or chunk, whatever the size of the collection. An element counted once is in no other set and signs nothing.
+If the rarest shared element is counted at most ``RARE`` times, it is among the first a - ceil(g * a) + 1 of both sets and
 signs alone; otherwise all shared elements are counted more often, and pairs of these are enumerated only.
+
+A signature of more than ``HOT`` sets is not compared by all pairs of them. Sets under such signatures sign again, by each common element of their first
+a - ceil(g * a) + 1 (the first shared one is among these); what is hot even then is compared block by block, each block pair in a group of its own.
 """
 
 from __future__ import annotations
@@ -30,8 +34,12 @@ from glossarch.plans.scratch import written
 
 #: least set size of each band, and the parts its domain is cut into
 BANDS = [(1, 0), (10, 4), (40, 10), (160, 40), (640, 160), (2560, 640), (10240, 2560), (40960, 10240), (163840, 40960), (655360, 163840), (2621440, 655360)]
-#: elements per counter aimed at, the most counters (one byte each) and the rows they are gathered in
-LOAD, COUNTERS, BLOCK = 4, 1 << 26, 1 << 12
+#: elements of a chunk of sets, of a bucket of the domain, and of the sets whose signatures one task compares, aimed at
+CHUNK, BUCKET, TASK = 1 << 17, 1 << 21, 1 << 19
+#: count up to which an element signs alone (at most ``HOT``); sets of one signature compared at once; of a hot one, sets in a block
+RARE, HOT, SIDE = 48, 256, 2048
+#: bytes of a block of a bit table
+BLOCK = 1 << 12
 
 
 def _elements(texts: list[str | None], known: WordHashes, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,48 +82,91 @@ def sets_of(df: DataFrame, kind: int, key: str, text: str, words: int = 3) -> Da
     return rows.mapInArrow(run, "kind int, key string, text string, class bigint, size int, m0 bigint, m1 bigint, m2 bigint, m3 bigint")
 
 
-def _counted(sets: DataFrame, words: int) -> tuple[np.ndarray, int]:
-    """How often each element occurs, by hash modulo a number of counters in proportion to the elements (at most
-    ``COUNTERS``), saturating; and the count up to which an element is called rare."""
-    total = sets.agg(F.sum("size")).first()[0] or 0
-    counters = 1 << int(np.clip(np.log2(max(total, 1) / LOAD), 16, np.log2(COUNTERS)))
+def _keys(h: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of an element and its 32 bits there, in one number. Elements that share it are counted as one, which only overestimates."""
+    return (h >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32) | (h & np.uint64(0xFFFFFFFF))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = WordHashes(), np.zeros(counters, np.uint32)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 8192):
-                h, _, _ = runs(*words_of([t.lower() for t in batch.column(0).slice(at, 8192).to_pylist()], known), words)
-                total += np.bincount((h % np.uint64(counters)).astype(np.int64), minlength=counters).astype(np.uint32)
-        blocks = np.minimum(total, 255).astype(np.uint8).reshape(-1, BLOCK)
-        some = np.flatnonzero(blocks.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([blocks[i].tobytes() for i in some], pa.binary())], ["block", "counts"])
 
-    def add(tables: pa.Table) -> pa.Table:
-        total = np.zeros(BLOCK, np.uint32)
-        for raw in tables["counts"].to_pylist():
-            total += np.frombuffer(raw, np.uint8)
-        return pa.table({"block": tables["block"][:1], "counts": pa.array([np.minimum(total, 255).astype(np.uint8).tobytes()], pa.binary())})
+PACKED = "chunk bigint, kinds binary, classes binary, sizes binary, maps binary, texts array<string>, bucket int, elements binary, counts binary"
 
-    schema = "block int, counts binary"
-    out = np.zeros((counters // BLOCK, BLOCK), np.uint8)
-    for row in sets.select("text").mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema).toArrow().to_pylist():
-        out[row["block"]] = np.frombuffer(row["counts"], np.uint8)
-    load = total / counters
-    return out.reshape(-1), int(min(4 * load + 4 * load**0.5 + 20, 254))
 
+def _packed(sets: DataFrame, words: int, buckets: int) -> DataFrame:
+    """One row for each distinct set, packed in chunks; and by chunk and bucket the distinct elements with the sets of the chunk that hold them (at most 255)."""
+    folded = [F.col(f"m{j}").bitwiseXOR(F.col(f"m{j + 2}")).alias(f"m{j}") for j in range(2)]
+    one = latest_rows(sets.select("class", "kind", "size", *folded, "text"), "class", [F.col("class")])
+    names = [c.split()[0] for c in PACKED.split(", ")]
+
+    def rows_of(part: pa.Table, known: WordHashes) -> pa.RecordBatch:
+        texts = part["text"].to_pylist()
+        h, _, _ = _elements(texts, known, words)
+        keys, n = np.unique(_keys(h, buckets), return_counts=True)
+        n = np.minimum(n, 255).astype(np.uint8)
+        bucket = (keys >> np.uint64(32)).astype(np.int32)
+        lows = keys.astype(np.uint32)
+        starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+        ends = np.append(starts[1:], len(keys))
+        k = len(starts)
+        chunk = part["class"][0].as_py()
+        arrays = [part[c].to_numpy() for c in ("kind", "class", "size")] + [np.stack([part[c].to_numpy() for c in ("m0", "m1")], 1)]
+        first = [a.astype(t).tobytes() for a, t in zip(arrays, (np.int32, np.int64, np.int32, np.int64))]
+        data = [[chunk] * (k + 1), *([x] + [None] * k for x in first), [texts] + [None] * k, [None, *bucket[starts].tolist()]]
+        data += [[None, *(lows[i:j].tobytes() for i, j in zip(starts, ends))], [None, *(n[i:j].tobytes() for i, j in zip(starts, ends))]]
+        kinds = [pa.int64(), *[pa.binary()] * 4, pa.list_(pa.string()), pa.int32(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(d, t) for d, t in zip(data, kinds)], names)
 
-def signatures(h: np.ndarray, owner: np.ndarray, size: np.ndarray, counts: np.ndarray, least: Fraction, rare: int) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of a batch of sets (elements ``h`` of set ``owner``) and the set of each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held, room = WordHashes(), [], CHUNK
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            filled = np.cumsum(batch.column("size").to_numpy().astype(np.int64))
+            lo = 0
+            while lo < batch.num_rows:
+                before = filled[lo - 1] if lo else 0
+                hi = min(int(np.searchsorted(filled, before + room)) + 1, batch.num_rows)
+                held.append(batch.slice(lo, hi - lo))
+                room -= int(filled[hi - 1] - before)
+                lo = hi
+                if room <= 0:
+                    yield rows_of(pa.Table.from_batches(held), known)
+                    held, room = [], CHUNK
+        if held:
+            yield rows_of(pa.Table.from_batches(held), known)
+
+    return one.mapInArrow(run, PACKED)
+
+
+def _seen(packed: DataFrame) -> DataFrame:
+    """``chunk, bucket, seen``: for the elements of the chunk in the bucket, in order, the sets of the whole collection that hold them (at most 255)."""
+
+    def count(group: pa.Table) -> pa.Table:
+        lows = [np.frombuffer(x, np.uint32) for x in group["elements"].to_pylist()]
+        each = np.concatenate([np.frombuffer(x, np.uint8) for x in group["counts"].to_pylist()])
+        _, at = np.unique(np.concatenate(lows), return_inverse=True)
+        total = np.minimum(np.bincount(at, each), 255).astype(np.uint8)[at]
+        ends = np.cumsum([len(x) for x in lows])
+        return pa.table([group["chunk"], group["bucket"], pa.array([total[e - len(x) : e].tobytes() for x, e in zip(lows, ends)], pa.binary())], ["chunk", "bucket", "seen"])
+
+    return packed.filter("bucket is not null").select("chunk", "bucket", "elements", "counts").groupBy("bucket").applyInArrow(count, "chunk bigint, bucket int, seen binary")
+
+
+def signatures(h: np.ndarray, owner: np.ndarray, size: np.ndarray, seen: np.ndarray, least: Fraction, rare: int, alone: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of a batch of sets (elements ``h`` of set ``owner``, counted ``seen`` times) and the set of each.
+
+    ``alone``: those by single elements only, for elements counted more than ``rare`` times.
+    """
     p, q = least.numerator, least.denominator
-    seen = counts[(h % np.uint64(len(counts))).astype(np.int64)]
     spread = mixed(h, 1)
     order = np.lexsort((h, spread, seen, owner))
     h, owner, seen, spread = h[order], owner[order], seen[order], spread[order]
     a = size[owner]
     place = np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size)
     spare = a - -(-(p * a) // q)  # elements that need not be shared
-    alone = (place <= spare) & (seen > 1) & (seen <= rare)
-    out, whose = [mixed(h[alone], len(BANDS))], [owner[alone]]
+    if alone:
+        use = (place <= spare) & (seen > max(rare, 1))
+        return mixed(h[use], len(BANDS) + 1), owner[use]
+    use = (place <= spare) & (seen > 1) & (seen <= rare)
+    out, whose = [mixed(h[use], len(BANDS))], [owner[use]]
     for band, (low, parts) in enumerate(BANDS):
         high = BANDS[band + 1][0] - 1 if band + 1 < len(BANDS) else np.inf
         # own band, or one above with a possible partner of at most ``high`` elements
@@ -141,31 +192,159 @@ def signatures(h: np.ndarray, owner: np.ndarray, size: np.ndarray, counts: np.nd
     return np.concatenate(out), np.concatenate(whose).astype(np.int64)
 
 
-def _signed(sets: DataFrame, least: Fraction, words: int) -> DataFrame:
-    """``signature, class, size, m0, m1``; of the copies of one set that a task meets, one signs. The map is folded to 128 bits."""
-    counts, rare = _counted(sets, words)
-    table = sets.sparkSession.sparkContext.broadcast(counts)
+SIGNED = "signature bigint, class bigint, size int, m0 bigint, m1 bigint"
+
+
+def _signed(packed: DataFrame, seen: DataFrame, least: Fraction, words: int, buckets: int, among=None) -> DataFrame:
+    """``signature, class, size, m0, m1`` of all sets; with ``among``, a broadcast bit table of classes, the single signatures of these."""
+
+    def sign(chunk: pa.Table, counts: pa.Table) -> pa.Table:
+        row = {c: chunk[c][0].as_py() for c in ("kinds", "classes", "sizes", "maps", "texts")}
+        kinds, classes, sizes = (np.frombuffer(row[c], t) for c, t in (("kinds", np.int32), ("classes", np.int64), ("sizes", np.int32)))
+        maps = np.frombuffer(row["maps"], np.int64).reshape(-1, 2)
+        h, owner, size = _elements(row["texts"], WordHashes(), words)
+        by = np.argsort(counts["bucket"].to_numpy())
+        replies = counts["seen"].to_pylist()
+        total = np.concatenate([np.empty(0, np.uint8), *(np.frombuffer(replies[i], np.uint8) for i in by)])
+        _, at = np.unique(_keys(h, buckets), return_inverse=True)
+        here = total[at]
+        if among is not None:
+            keep = _holds(among.value, classes)[owner]
+            h, owner, here = h[keep], owner[keep], here[keep]
+            size = np.bincount(owner, minlength=len(size))
+        sig, whose = signatures(h, owner, size, here, least, min(RARE, HOT), among is not None)
+        sig = mixed(sig, kinds[whose].astype(np.uint64)).astype(np.int64)
+        return pa.table([sig, classes[whose], sizes[whose], maps[whose, 0], maps[whose, 1]], ["signature", "class", "size", "m0", "m1"])
+
+    chunks = packed.filter("bucket is null").select("chunk", "kinds", "classes", "sizes", "maps", "texts")
+    return chunks.groupBy("chunk").cogroup(seen.groupBy("chunk")).applyInArrow(sign, SIGNED)
+
+
+class _Near:
+    """Whether two sets may be similar, by sizes and folded bit maps: shared >= least * (size - shared) <=> differing <= (1 - least) / (1 + least) * size, and differing bits are differing elements."""
+
+    def __init__(self, least: Fraction):
+        self.p, self.q = least.numerator, least.denominator
+
+    def __call__(self, c, s, m, i, j) -> np.ndarray:
+        one, two = s[i], s[j]
+        bits = sum(np.bitwise_count((x[i] ^ x[j]).view(np.uint64)).astype(np.int64) for x in m) * (self.q + self.p)
+        return (bits <= (self.q - self.p) * (one + two)) & (self.p * one <= self.q * two) & (self.p * two <= self.q * one) & (c[i] != c[j])
+
+
+MET = "signature bigint, class_a bigint, class_b bigint, size_a int, size_b int, m0 bigint, m1 bigint"
+_MET = ["signature", "class_a", "class_b", "size_a", "size_b", "m0", "m1"]
+
+
+def _found(c: np.ndarray, s: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[pa.Array]:
+    """Columns of ``MET`` for the pairs of places ``i, j``, each pair once, the smaller class first."""
+    i, j = np.where(c[i] < c[j], i, j), np.where(c[i] < c[j], j, i)
+    pairs = np.stack([c[i], c[j]], 1)
+    _, at = np.unique(np.ascontiguousarray(pairs).view([("a", np.int64), ("b", np.int64)]).ravel(), return_index=True) if len(i) else (None, i)
+    i, j = i[at], j[at]
+    none = pa.nulls(len(i), pa.int64())
+    return [none, pa.array(c[i]), pa.array(c[j]), pa.array(s[i].astype(np.int32)), pa.array(s[j].astype(np.int32)), none, none]
+
+
+def _met(signed: DataFrame, least: Fraction, tasks: int) -> DataFrame:
+    """``MET`` rows: candidates (null ``signature``), and the sets (as ``class_a, size_a``) of signatures that are hot.
+
+    Tasks get whole signatures and read them in a stream, at most ``HOT`` sets of one are held.
+    """
+    near = _Near(least)
+
+    def pairs(sig, c, s, m) -> pa.RecordBatch:
+        live, step, out = np.arange(len(sig)), 1, [(np.empty(0, np.int64),) * 2]
+        while True:
+            live = live[live + step < len(sig)]
+            live = live[sig[live] == sig[live + step]]
+            if not len(live):
+                break
+            ok = live[near(c, s, m, live, live + step)]
+            out.append((ok, ok + step))
+            step += 1
+        return pa.RecordBatch.from_arrays(_found(c, s, *(np.concatenate(x) for x in zip(*out))), _MET)
+
+    def hot(sig, c, s, m) -> pa.RecordBatch:
+        none = pa.nulls(len(sig), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(c), none, pa.array(s.astype(np.int32)), none.cast(pa.int32()), pa.array(m[0]), pa.array(m[1])], _MET)
+
+    def part(cols, keep):
+        sig, c, s, m = cols
+        return sig[keep], c[keep], s[keep], [x[keep] for x in m]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, met = WordHashes(), set()
+        held, burning = None, None
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
-                new = [i for i, n in enumerate(part.column("class").to_pylist()) if not (n in met or met.add(n))]
-                if not new:
+            for lo in range(0, batch.num_rows, 1 << 16):
+                b = batch.slice(lo, 1 << 16)
+                cols = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy().astype(np.int64), [b.column(3).to_numpy(), b.column(4).to_numpy()]
+                if burning is not None:  # the rest of a hot signature
+                    same = cols[0] == burning
+                    if same.any():
+                        yield hot(*part(cols, same))
+                    cols = part(cols, ~same)
+                if held is not None:
+                    cols = *(np.concatenate(x) for x in zip(held[:3], cols[:3])), [np.concatenate(x) for x in zip(held[3], cols[3])]
+                sig = cols[0]
+                if not len(sig):
+                    held = None
                     continue
-                part = part.take(pa.array(new))
-                h, owner, size = _elements(part.column("text").to_pylist(), known, words)
-                sig, whose = signatures(h, owner, size, table.value, least, rare)
-                sig = mixed(sig, part.column("kind").to_numpy()[whose]).astype(np.int64)
-                for lo in range(0, len(sig), 1 << 18):
-                    take = pa.array(whose[lo : lo + (1 << 18)])
-                    rest = ["class", "size", "m0", "m1"]
-                    yield pa.RecordBatch.from_arrays([pa.array(sig[lo : lo + (1 << 18)]), *(part.column(c).take(take) for c in rest)], ["signature", *rest])
-
-    folded = [F.col(f"m{j}").bitwiseXOR(F.col(f"m{j + 2}")).alias(f"m{j}") for j in range(2)]
-    rows = sets.select("kind", "class", "size", *folded, "text")
-    return rows.mapInArrow(run, "signature bigint, class bigint, size int, m0 bigint, m1 bigint")
+                starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+                length = np.diff(np.append(starts, len(sig)))
+                many = np.repeat(length > HOT, length)
+                if many.any():
+                    yield hot(*part(cols, many))
+                last = np.arange(len(sig)) >= starts[-1]
+                burning = sig[-1] if length[-1] > HOT else None
+                held = part(cols, last & ~many)
+                yield pairs(*part(cols, ~last & ~many))
+        if held is not None and len(held[0]):
+            yield pairs(*held)
+
+    return signed.repartition(tasks, "signature").sortWithinPartitions("signature").mapInArrow(run, MET)
+
+
+def _blocks(hot: DataFrame, least: Fraction) -> DataFrame:
+    """Candidates among all sets of each hot signature: sets are spread over blocks of about ``SIDE``, each two blocks meet in a group."""
+    near = _Near(least)
+    rows = hot.select("signature", F.col("class_a").alias("class"), F.col("size_a").alias("size"), "m0", "m1").distinct()
+    many = rows.groupBy("signature").agg(F.ceil(F.count(F.lit(1)) / SIDE).cast("int").alias("blocks"))
+    rows = rows.join(many, "signature").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("signature", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "class", "size", "m0", "m1")
+
+    def compare(group: pa.Table) -> pa.Table:
+        c, s = group["class"].to_numpy(), group["size"].to_numpy().astype(np.int64)
+        m, block = [group["m0"].to_numpy(), group["m1"].to_numpy()], group["block"].to_numpy()
+        one = np.flatnonzero(block == group["lo"][0].as_py())
+        two = np.flatnonzero(block == group["hi"][0].as_py())
+        out = [(np.empty(0, np.int64),) * 2]
+        for i in one:
+            j = two if group["lo"][0] != group["hi"][0] else two[two > i]
+            j = j[near(c, s, m, i, j)]
+            out.append((np.full(len(j), i), j))
+        return pa.Table.from_arrays(_found(c, s, *(np.concatenate(x) for x in zip(*out))), _MET)
+
+    return rows.groupBy("signature", "lo", "hi").applyInArrow(compare, MET)
+
+
+def _candidates(sets: DataFrame, least: Fraction, words: int) -> DataFrame:
+    """``class_a, class_b`` (class_a < class_b): all pairs that share a signature and whose folded maps are near."""
+    total = sets.agg(F.sum("size")).first()[0] or 0
+    buckets = -(-total // BUCKET) or 1
+    tasks = max(-(-total // TASK), int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    packed = written(_packed(sets, words, buckets), "packed")
+    seen = written(_seen(packed), "seen")
+    met = written(_met(_signed(packed, seen, least, words, buckets), least, tasks), "met")
+    found = met.filter("signature is null").select("class_a", "class_b")
+    hot = met.filter("signature is not null")
+    if not hot.isEmpty():
+        among = sets.sparkSession.sparkContext.broadcast(_marked(hot.select("class_a").distinct()))
+        again = written(_met(_signed(packed, seen, least, words, buckets, among), least, tasks), "met")
+        found = found.union(again.filter("signature is null").select("class_a", "class_b"))
+        found = found.union(_blocks(again.filter("signature is not null"), least).select("class_a", "class_b"))
+    return found.distinct()
 
 
 def _map(elements: np.ndarray) -> bytes:
@@ -209,6 +388,12 @@ def _marked(classes: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
+def _holds(table: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Whether a class is in a bit table, or shares its bit with one that is."""
+    at = classes.astype(np.uint64) % np.uint64(len(table) * 8)
+    return (table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def similar_classes(sets: DataFrame, least: Fraction, words: int = 3) -> DataFrame:
     """``class_a, class_b, shared, either`` (class_a < class_b): all pairs of different sets with similarity of at least ``least``.
 
@@ -217,17 +402,12 @@ def similar_classes(sets: DataFrame, least: Fraction, words: int = 3) -> DataFra
     p, q = least.numerator, least.denominator
     if not Fraction(1, 2) <= least <= 1:
         raise ValueError("the bands hold for similarities from one half to one")
-    signed = _signed(sets, least, words)
-    a = signed.select("signature", *(F.col(c).alias(f"{c}_a") for c in ("class", "size", "m0", "m1")))
-    b = signed.select("signature", *(F.col(c).alias(f"{c}_b") for c in ("class", "size", "m0", "m1")))
 
     def may_be(words: int):
-        # shared >= least * (size - shared)  <=>  differing <= (1 - least) / (1 + least) * size; differing bits are differing elements
         bits = sum(F.bit_count(F.col(f"m{j}_a").bitwiseXOR(F.col(f"m{j}_b"))) for j in range(words))
         return (q + p) * bits <= (q - p) * (F.col("size_a") + F.col("size_b"))
 
-    fits = (p * F.col("size_a") <= q * F.col("size_b")) & (p * F.col("size_b") <= q * F.col("size_a"))
-    near = a.join(b, "signature").filter((F.col("class_a") < F.col("class_b")) & fits & may_be(2)).select("class_a", "class_b").distinct()
+    near = _candidates(sets, least, words)
     # the few that are left meet the whole maps, before texts are moved
     maps = sets.groupBy("class").agg(*(F.max(c).alias(c) for c in ("kind", "size", "m0", "m1", "m2", "m3")))
     for side in "ab":
@@ -239,8 +419,7 @@ def similar_classes(sets: DataFrame, least: Fraction, words: int = 3) -> DataFra
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, table = WordHashes(), bits.value
         for batch in batches:
-            at = batch.column("class").to_numpy().astype(np.uint64) % np.uint64(len(table) * 8)
-            part = batch.filter(pa.array((table[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)))
+            part = batch.filter(pa.array(_holds(table, batch.column("class").to_numpy())))
             for lo in range(0, part.num_rows, 4096):
                 some = part.slice(lo, 4096)
                 h, _, size = _elements(some.column("text").to_pylist(), known, words)

@@ -79,8 +79,26 @@ def test_no_similar_pair_is_without_a_common_signature():
             h = np.array(sorted(one) + sorted(two), np.uint64)
             size = np.array([len(one), len(two)])
             counts = rng.integers(2, 9, 1 << 9).astype(np.uint8)
-            s, w = signatures(h, np.repeat([0, 1], size), size, counts, least, int(rng.choice([0, 3, 5, 9])))
+            seen, rare = counts[(h % np.uint64(len(counts))).astype(np.int64)], int(rng.choice([0, 3, 5, 9]))
+            s, w = signatures(h, np.repeat([0, 1], size), size, seen, least, rare)
             assert set(s[w == 0].tolist()) & set(s[w == 1].tolist())
+            # if common elements alone are shared, the single ones of the first places meet, too
+            if all(seen[i] > rare for i in np.flatnonzero(np.isin(h, list(one & two)))):
+                s, w = signatures(h, np.repeat([0, 1], size), size, seen, least, rare, alone=True)
+                assert set(s[w == 0].tolist()) & set(s[w == 1].tolist())
+
+
+@pytest.mark.parametrize("hot,side", [(4, 2048), (2, 8)])
+def test_hot_signatures_chunks_and_buckets(spark, rows, monkeypatch, hot, side):
+    """A third of the texts has a long passage in common; signatures are hot, chunks, buckets and blocks small."""
+    for name, value in (("HOT", hot), ("SIDE", side), ("CHUNK", 500), ("BUCKET", 700), ("RARE", 3)):
+        monkeypatch.setattr(partenum, name, value)
+    rng = np.random.default_rng(5)
+    passage = " ".join(f"p{i}" for i in range(60))
+    data = texts(3, 60) + [(f"h{i:03}", passage + " " + " ".join(f"x{n}" for n in rng.integers(0, 50, int(rng.integers(1, 60))))) for i in range(60)]
+    df = spark.createDataFrame(data, "id string, body string")
+    sets = written(partenum.sets_of(df, 0, "id", "body"), "t")
+    assert rows(partenum.record_pairs(sets, partenum.similar_classes(sets, Fraction(6, 10)))) == brute(data)
 
 
 def test_connected_long_chain(spark):
