@@ -35,11 +35,11 @@ from glossarch.plans.scratch import written
 #: least set size of each band, and the parts its domain is cut into
 BANDS = [(1, 0), (10, 4), (40, 10), (160, 40), (640, 160), (2560, 640), (10240, 2560), (40960, 10240), (163840, 40960), (655360, 163840), (2621440, 655360)]
 #: elements of a chunk of sets, of a bucket of the domain, and of the sets whose signatures one task compares, aimed at
-CHUNK, BUCKET, TASK = 1 << 17, 1 << 21, 1 << 19
+CHUNK, BUCKET, TASK = 1 << 18, 1 << 19, 1 << 19
 #: count up to which an element signs alone (at most ``HOT``); sets of one signature compared at once; of a hot one, sets in a block
-RARE, HOT, SIDE = 48, 256, 2048
-#: bytes of a block of a bit table
-BLOCK = 1 << 12
+RARE, HOT, SIDE = 48, 2048, 2048
+#: bytes of a block of a bit table; classes a task remembers having sent
+BLOCK, MET_ROOM = 1 << 12, 1 << 20
 
 
 def _elements(texts: list[str | None], known: WordHashes, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,57 +87,38 @@ def _keys(h: np.ndarray, buckets: int) -> np.ndarray:
     return (h >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32) | (h & np.uint64(0xFFFFFFFF))
 
 
-PACKED = "chunk bigint, kinds binary, classes binary, sizes binary, maps binary, texts array<string>, bucket int, elements binary, counts binary"
+def _chunks(sets: DataFrame, chunks: int) -> DataFrame:
+    """``chunk`` and what the signatures of a set need, brought together by chunk. Of the copies of one set a task sends about one."""
+    folded = [F.col(f"m{j}").bitwiseXOR(F.col(f"m{j + 2}")).alias(f"m{j}") for j in range(2)]
+    rows = sets.select(F.pmod("class", F.lit(chunks)).alias("chunk"), "class", "kind", "size", *folded, "text")
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
+        for batch in batches:
+            new = [i for i, n in enumerate(batch.column("class").to_pylist()) if not (n in met or met.add(n))]
+            if len(met) > MET_ROOM:
+                met.clear()
+            yield batch.take(pa.array(new, pa.int32()))
 
+    return rows.mapInArrow(once, "chunk bigint, class bigint, kind int, size int, m0 bigint, m1 bigint, text string").repartition("chunk")
 
-def _packed(sets: DataFrame, words: int, buckets: int) -> DataFrame:
-    """One row for each distinct set, packed in chunks; and by chunk and bucket the distinct elements with the sets of the chunk that hold them (at most 255)."""
-    folded = [F.col(f"m{j}").bitwiseXOR(F.col(f"m{j + 2}")).alias(f"m{j}") for j in range(2)]
-    one = latest_rows(sets.select("class", "kind", "size", *folded, "text"), "class", [F.col("class")])
-    names = [c.split()[0] for c in PACKED.split(", ")]
 
-    def rows_of(part: pa.Table, known: WordHashes) -> pa.RecordBatch:
-        texts = part["text"].to_pylist()
-        h, _, _ = _elements(texts, known, words)
+def _distinct(group: pa.Table) -> pa.Table:
+    """The sets of a chunk, each once, in the order of their names."""
+    return group.take(pa.array(np.unique(group["class"].to_numpy(), return_index=True)[1]))
+
+
+def _seen(chunks: DataFrame, words: int, buckets: int) -> DataFrame:
+    """``chunk, bucket, seen``: for the distinct elements of a chunk in a bucket, in order, the sets of the whole collection that hold them (at most 255)."""
+
+    def ask(group: pa.Table) -> pa.Table:
+        h, _, _ = _elements(_distinct(group)["text"].to_pylist(), WordHashes(), words)
         keys, n = np.unique(_keys(h, buckets), return_counts=True)
-        n = np.minimum(n, 255).astype(np.uint8)
-        bucket = (keys >> np.uint64(32)).astype(np.int32)
-        lows = keys.astype(np.uint32)
+        n, lows, bucket = np.minimum(n, 255).astype(np.uint8), keys.astype(np.uint32), (keys >> np.uint64(32)).astype(np.int32)
         starts = np.flatnonzero(np.diff(bucket, prepend=-1))
-        ends = np.append(starts[1:], len(keys))
-        k = len(starts)
-        chunk = part["class"][0].as_py()
-        arrays = [part[c].to_numpy() for c in ("kind", "class", "size")] + [np.stack([part[c].to_numpy() for c in ("m0", "m1")], 1)]
-        first = [a.astype(t).tobytes() for a, t in zip(arrays, (np.int32, np.int64, np.int32, np.int64))]
-        data = [[chunk] * (k + 1), *([x] + [None] * k for x in first), [texts] + [None] * k, [None, *bucket[starts].tolist()]]
-        data += [[None, *(lows[i:j].tobytes() for i, j in zip(starts, ends))], [None, *(n[i:j].tobytes() for i, j in zip(starts, ends))]]
-        kinds = [pa.int64(), *[pa.binary()] * 4, pa.list_(pa.string()), pa.int32(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(d, t) for d, t in zip(data, kinds)], names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, room = WordHashes(), [], CHUNK
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            filled = np.cumsum(batch.column("size").to_numpy().astype(np.int64))
-            lo = 0
-            while lo < batch.num_rows:
-                before = filled[lo - 1] if lo else 0
-                hi = min(int(np.searchsorted(filled, before + room)) + 1, batch.num_rows)
-                held.append(batch.slice(lo, hi - lo))
-                room -= int(filled[hi - 1] - before)
-                lo = hi
-                if room <= 0:
-                    yield rows_of(pa.Table.from_batches(held), known)
-                    held, room = [], CHUNK
-        if held:
-            yield rows_of(pa.Table.from_batches(held), known)
-
-    return one.mapInArrow(run, PACKED)
-
-
-def _seen(packed: DataFrame) -> DataFrame:
-    """``chunk, bucket, seen``: for the elements of the chunk in the bucket, in order, the sets of the whole collection that hold them (at most 255)."""
+        ends = np.append(starts[1:], len(keys)).astype(int)
+        raw = [pa.array([x[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary()) for x in (lows, n)]
+        return pa.table([pa.array([group["chunk"][0].as_py()] * len(starts), pa.int64()), bucket[starts], *raw], ["chunk", "bucket", "elements", "counts"])
 
     def count(group: pa.Table) -> pa.Table:
         lows = [np.frombuffer(x, np.uint32) for x in group["elements"].to_pylist()]
@@ -147,7 +128,8 @@ def _seen(packed: DataFrame) -> DataFrame:
         ends = np.cumsum([len(x) for x in lows])
         return pa.table([group["chunk"], group["bucket"], pa.array([total[e - len(x) : e].tobytes() for x, e in zip(lows, ends)], pa.binary())], ["chunk", "bucket", "seen"])
 
-    return packed.filter("bucket is not null").select("chunk", "bucket", "elements", "counts").groupBy("bucket").applyInArrow(count, "chunk bigint, bucket int, seen binary")
+    asked = chunks.groupBy("chunk").applyInArrow(ask, "chunk bigint, bucket int, elements binary, counts binary")
+    return asked.groupBy("bucket").applyInArrow(count, "chunk bigint, bucket int, seen binary")
 
 
 def signatures(h: np.ndarray, owner: np.ndarray, size: np.ndarray, seen: np.ndarray, least: Fraction, rare: int, alone: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -195,29 +177,23 @@ def signatures(h: np.ndarray, owner: np.ndarray, size: np.ndarray, seen: np.ndar
 SIGNED = "signature bigint, class bigint, size int, m0 bigint, m1 bigint"
 
 
-def _signed(packed: DataFrame, seen: DataFrame, least: Fraction, words: int, buckets: int, among=None) -> DataFrame:
-    """``signature, class, size, m0, m1`` of all sets; with ``among``, a broadcast bit table of classes, the single signatures of these."""
+def _signed(sets: DataFrame, total: int, least: Fraction, words: int, alone: bool) -> DataFrame:
+    """``signature, class, size, m0, m1`` of all sets; ``alone``: of single elements only."""
+    buckets = -(-total // BUCKET) or 1
+    chunks = _chunks(sets, -(-total // CHUNK) or 1)
 
-    def sign(chunk: pa.Table, counts: pa.Table) -> pa.Table:
-        row = {c: chunk[c][0].as_py() for c in ("kinds", "classes", "sizes", "maps", "texts")}
-        kinds, classes, sizes = (np.frombuffer(row[c], t) for c, t in (("kinds", np.int32), ("classes", np.int64), ("sizes", np.int32)))
-        maps = np.frombuffer(row["maps"], np.int64).reshape(-1, 2)
-        h, owner, size = _elements(row["texts"], WordHashes(), words)
-        by = np.argsort(counts["bucket"].to_numpy())
-        replies = counts["seen"].to_pylist()
-        total = np.concatenate([np.empty(0, np.uint8), *(np.frombuffer(replies[i], np.uint8) for i in by)])
+    def sign(group: pa.Table, counts: pa.Table) -> pa.Table:
+        rows = _distinct(group)
+        h, owner, size = _elements(rows["text"].to_pylist(), WordHashes(), words)
+        by, replies = np.argsort(counts["bucket"].to_numpy()), counts["seen"].to_pylist()
+        seen = np.concatenate([np.empty(0, np.uint8), *(np.frombuffer(replies[i], np.uint8) for i in by)])
         _, at = np.unique(_keys(h, buckets), return_inverse=True)
-        here = total[at]
-        if among is not None:
-            keep = _holds(among.value, classes)[owner]
-            h, owner, here = h[keep], owner[keep], here[keep]
-            size = np.bincount(owner, minlength=len(size))
-        sig, whose = signatures(h, owner, size, here, least, min(RARE, HOT), among is not None)
-        sig = mixed(sig, kinds[whose].astype(np.uint64)).astype(np.int64)
-        return pa.table([sig, classes[whose], sizes[whose], maps[whose, 0], maps[whose, 1]], ["signature", "class", "size", "m0", "m1"])
+        sig, whose = signatures(h, owner, size, seen[at], least, 0 if alone else min(RARE, HOT), alone)
+        sig = mixed(sig, rows["kind"].to_numpy()[whose].astype(np.uint64)).astype(np.int64)
+        return pa.table([pa.array(sig), *(pa.array(rows[c].to_numpy()[whose]) for c in ("class", "size", "m0", "m1"))], ["signature", "class", "size", "m0", "m1"])
 
-    chunks = packed.filter("bucket is null").select("chunk", "kinds", "classes", "sizes", "maps", "texts")
-    return chunks.groupBy("chunk").cogroup(seen.groupBy("chunk")).applyInArrow(sign, SIGNED)
+    # the exchange of the texts is made once and read by both
+    return chunks.groupBy("chunk").cogroup(_seen(chunks, words, buckets).groupBy("chunk")).applyInArrow(sign, SIGNED)
 
 
 class _Near:
@@ -331,19 +307,23 @@ def _blocks(hot: DataFrame, least: Fraction) -> DataFrame:
 
 def _candidates(sets: DataFrame, least: Fraction, words: int) -> DataFrame:
     """``class_a, class_b`` (class_a < class_b): all pairs that share a signature and whose folded maps are near."""
-    total = sets.agg(F.sum("size")).first()[0] or 0
-    buckets = -(-total // BUCKET) or 1
-    tasks = max(-(-total // TASK), int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    packed = written(_packed(sets, words, buckets), "packed")
-    seen = written(_seen(packed), "seen")
-    met = written(_met(_signed(packed, seen, least, words, buckets), least, tasks), "met")
-    found = met.filter("signature is null").select("class_a", "class_b")
-    hot = met.filter("signature is not null")
+
+    def meet(some: DataFrame, alone: bool) -> tuple[DataFrame, DataFrame]:
+        total = some.agg(F.sum("size")).first()[0] or 0
+        tasks = max(-(-total // TASK), int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        met = written(_met(_signed(some, total, least, words, alone), least, tasks), "met")
+        return met.filter("signature is null").select("class_a", "class_b"), met.filter("signature is not null")
+
+    found, hot = meet(sets, False)
     if not hot.isEmpty():
         among = sets.sparkSession.sparkContext.broadcast(_marked(hot.select("class_a").distinct()))
-        again = written(_met(_signed(packed, seen, least, words, buckets, among), least, tasks), "met")
-        found = found.union(again.filter("signature is null").select("class_a", "class_b"))
-        found = found.union(_blocks(again.filter("signature is not null"), least).select("class_a", "class_b"))
+
+        def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(_holds(among.value, batch.column("class").to_numpy())))
+
+        more, hot = meet(written(sets.mapInArrow(members, sets.schema), "hot"), True)
+        found = found.union(more).union(_blocks(hot, least).select("class_a", "class_b"))
     return found.distinct()
 
 
