@@ -22,9 +22,8 @@ from glossarch.plans.scratch import written
 
 #: rows the codebooks are fitted on; rows of a shard; visits one copy of a shard serves
 SAMPLE, SHARD, VISITS = 20_000, 16_384, 100_000
-#: entries a query meets at least; doubled until the recall of ``PROBES`` of the queries, compared with all rows, is ``RECALL``.
-#: Measured with 20,000 for any rows as queries (not only such with close neighbours): recall 0.97 and 0.99 of 198,189 and 130,078 rows.
-MEET, PROBES, RECALL = 20_000, 64, 0.95
+#: queries that are compared with all rows, the part of their true neighbours the walks must reach, and what is met beyond that
+PROBES, RECALL, MARGIN = 64, 0.95, 1.5
 #: aimed rows per cell, and the largest codebook (a table of all cells stays below a million entries)
 PER_CELL, CODEBOOK = 24, 1_000
 
@@ -91,13 +90,12 @@ def usable(vector, size: int):
     return (F.size(vector) == size) & (squares > 0) & (squares < float("inf"))
 
 
-def _enough(index: DataFrame, books: tuple[np.ndarray, np.ndarray], counts: np.ndarray, number: type, size: int, k: int) -> int:
-    """Entries to meet: ``MEET``, doubled until the walks of a few queries reach ``RECALL`` of their true neighbours' cells."""
-    if counts.sum() <= MEET:
-        return MEET
+def _enough(index: DataFrame, books: tuple[np.ndarray, np.ndarray], counts: np.ndarray, number: type, size: int, k: int, recall: float) -> int:
+    """Entries to meet: so many that the walks of ``PROBES`` of the queries (those of smallest hash), compared with all rows, reach ``recall``
+    of their true neighbours, and ``MARGIN`` times that. The same rule at every size of the collection."""
     probes = index.filter("asked").orderBy(F.xxhash64("key"), "key").limit(PROBES).select("key", "v").toArrow()
     if not probes.num_rows:
-        return MEET
+        return 1
     names, queries = probes["key"].to_pylist(), _units(probes["v"], number, size)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,35 +114,40 @@ def _enough(index: DataFrame, books: tuple[np.ndarray, np.ndarray], counts: np.n
     order = Window.partitionBy("probe").orderBy(F.desc("cosine"), "cell")
     true = met.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k).select("probe", "cell").collect()  # at most PROBES * k rows
     first, second = ((b**2).sum(1) - 2 * q @ b.T for b, q in zip(books, (queries[:, : size // 2], queries[:, size // 2 :])))
-    meet, total = MEET, int(counts.sum())
-    while meet < total:
-        walked = [set(walk(first[i], second[i], counts, meet)) for i in range(len(names))]
-        if sum(r["cell"] in walked[r["probe"]] for r in true) >= RECALL * len(true):
-            break
-        meet *= 2
-    return meet
-
-
-def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5, size: int = 64, meet: int | None = None) -> DataFrame:
+    needed = []
+    for i in range(len(names)):
+        if cells := [r["cell"] for r in true if r["probe"] == i]:
+            far = (first[i][:, None] + second[i][None, :]).ravel()  # cells are walked in this order
+            order = np.argsort(far, kind="stable")
+            reached = np.cumsum(counts[order])
+            needed += reached[np.searchsorted(far[order], far[cells])].tolist()
+    if not needed:
+        return 1
+    return int(np.ceil(MARGIN * np.quantile(needed, recall, method="higher")))
+
+
+def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5, size: int = 64, meet: int | None = None, recall: float = RECALL) -> DataFrame:
     """``query, neighbour, cosine, place``: for each key in ``queries`` (its one column) the ``k`` most similar rows.
 
     ``key`` is unique in ``df``. Null, all-zero, empty and wrongly sized vectors take no part, neither as query nor as neighbour; queries without
-    such a row have no result. Ties go to the smaller key. With fewer than ``k`` other rows, all of them come out.
+    such a row have no result. Ties go to the smaller key. With fewer than ``k`` other rows, all of them come out. A query meets ``meet`` entries
+    at least; if that is not given, as many as ``recall`` takes by comparison of a bounded number of queries with all rows.
     """
     spark = df.sparkSession
     rows = df.select(F.col(key).alias("key"), F.col(vector).alias("v")).filter(usable(F.col("v"), size))
     asked = queries.select(F.col(queries.columns[0]).alias("key")).filter("key is not null").distinct().withColumn("asked", F.lit(True))
-    n = df.count()
+    kind, element = rows.schema["key"].dataType.simpleString(), rows.schema["v"].dataType.elementType.typeName()
+    # entries keep their numbers as they are stored; cosines are computed in double precision from these
+    number = np.float64 if element == "double" else np.float32
+    rows = written(rows.join(asked, "key", "left").select("key", "v", F.coalesce("asked", F.lit(False)).alias("asked")), "vectors")
+    n = rows.count()
     share = max(1, n // SAMPLE)
     sample = rows.filter(F.pmod(F.xxhash64("key"), F.lit(share)) == 0).select("v").limit(2 * SAMPLE).toArrow()
     if sample.num_rows == 0 and n > 0:
         sample = rows.select("v").limit(SAMPLE).toArrow()
-    kind = rows.schema["key"].dataType.simpleString()
     if sample.num_rows == 0:
         return spark.createDataFrame([], f"query {kind}, neighbour {kind}, cosine double, place int")
     points, half = _matrix(sample["v"].combine_chunks(), size), size // 2
-    # entries keep their numbers as they are stored; cosines are computed in double precision from these
-    number = np.float64 if rows.schema["v"].dataType.elementType.typeName() == "double" else np.float32
     wanted = int(np.clip(np.sqrt(n / PER_CELL), 4, CODEBOOK))
     books = codebook(points[:, :half], wanted), codebook(points[:, half:], wanted, seed=1)
     columns = len(books[1])
@@ -158,8 +161,8 @@ def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5
                 raw = pa.array([r.tobytes() for r in stored], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0), raw, pa.array(cell.astype(np.int32)), batch.column(2)], ["key", "v", "cell", "asked"])
 
-    flagged = rows.join(asked, "key", "left").select("key", "v", F.coalesce("asked", F.lit(False)).alias("asked"))
-    index = written(flagged.mapInArrow(assign, f"key {kind}, v binary, cell int, asked boolean"), "index")
+    # the cell of a row costs less than to write it beside the vector
+    index = rows.select("key", "v", "asked").mapInArrow(assign, f"key {kind}, v binary, cell int, asked boolean")
 
     # Of equal vectors only the k + 1 smallest keys can be among the k best, so a large group of copies fills no cell.
     # At most CODEBOOK ** 2 cells.
@@ -167,7 +170,7 @@ def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5
     copies = index.groupBy("cell", F.xxhash64("v").alias("h")).count()
     for r in copies.groupBy("cell").agg(F.sum(F.least("count", F.lit(k + 1))).alias("n")).toArrow().to_pylist():
         counts[r["cell"]] = r["n"]
-    meet = meet or _enough(index, books, counts, number, size, k)
+    meet = meet or max(_enough(index, books, counts, number, size, k, recall), k + 1)
     shards = np.maximum(1, -(-counts // SHARD))  # of a cell
     first = np.zeros(len(counts), np.int64)
     at = filled = 0
@@ -204,23 +207,26 @@ def nearest(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int = 5
                 ["shard", "key", "v", "cells"],
             )
 
+    visits = written(index.filter("asked").select("key", "v").mapInArrow(route, f"shard int, key {kind}, v binary, cells array<int>"), "visits")
+    # a shard that very many queries visit is served by several copies of it
+    busy = written(visits.groupBy("shard").count().select("shard", F.ceil(F.col("count") / VISITS).cast("int").alias("copies")), "busy")
+    visited = np.zeros(at + 1, bool)
+    visited[[r["shard"] for r in busy.select("shard").collect()]] = True  # one number for SHARD rows of the table
+    reached = spark.sparkContext.broadcast(visited)
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, _, shards, first = plan.value
         for batch in batches:
             if batch.num_rows:
                 cell = batch.column("cell").to_numpy()
-                spread = batch.column("spread").to_numpy() % shards[cell]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((first[cell] + spread).astype(np.int32)), batch.column("key"), batch.column("v"), batch.column("cell")],
-                    ["shard", "key", "v", "cell"],
-                )
-
-    visits = written(index.filter("asked").select("key", "v").mapInArrow(route, f"shard int, key {kind}, v binary, cells array<int>"), "visits")
-    # a shard that very many queries visit is served by several copies of it
-    busy = visits.groupBy("shard").count().select("shard", F.ceil(F.col("count") / VISITS).cast("int").alias("copies"))
-    first_keys = F.row_number().over(Window.partitionBy("v").orderBy("key"))
-    distinct = index.select("key", "v", "cell").withColumn("copy", first_keys).filter(F.col("copy") <= k + 1)
-    entries = distinct.select("key", "v", "cell", F.pmod(F.xxhash64("key"), F.lit(2**31)).alias("spread")).mapInArrow(place, f"shard int, key {kind}, v binary, cell int")
+                shard = (first[cell] + batch.column("spread").to_numpy() % shards[cell]).astype(np.int32)
+                keep = pa.array(reached.value[shard])  # entries nobody visits are not moved
+                yield pa.RecordBatch.from_arrays([pa.array(shard).filter(keep), *(batch.column(c).filter(keep) for c in ("key", "v", "cell"))], ["shard", "key", "v", "cell"])
+
+    placed = index.select("key", "v", "cell", F.pmod(F.xxhash64("v"), F.lit(2**31)).alias("spread")).mapInArrow(place, f"shard int, key {kind}, v binary, cell int")
+    # equal vectors lie in one shard
+    first_keys = F.row_number().over(Window.partitionBy("shard", "v").orderBy("key"))
+    entries = placed.withColumn("copy", first_keys).filter(F.col("copy") <= k + 1)
     entries = entries.join(busy, "shard").select("shard", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"), F.lit(0).alias("side"), "key", "v", F.array("cell").alias("cells"))
     visits = visits.join(busy, "shard").select("shard", (F.pmod(F.xxhash64("key"), F.col("copies")) + 1).cast("int").alias("copy"), F.lit(1).alias("side"), "key", "v", "cells")
     both = entries.unionByName(visits).repartition("shard", "copy").sortWithinPartitions("shard", "copy", "side")

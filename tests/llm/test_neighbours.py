@@ -71,8 +71,7 @@ def test_walk_is_in_order():
         assert sums == sorted(sums)
 
 
-def test_meets_enough_of_scattered_vectors(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "MEET", 60)
+def test_meets_enough_of_scattered_vectors(spark):
     rng = np.random.default_rng(5)
     rows = [(f"n{i:04}", v.tolist()) for i, v in enumerate(rng.normal(size=(3000, 8)).astype(np.float32))]
     df = spark.createDataFrame(rows, "id string, v array<float>")
@@ -81,3 +80,18 @@ def test_meets_enough_of_scattered_vectors(spark, monkeypatch):
     hits = sum(len(set(got[q]) & set(w)) for q, w in want.items())
     print("recall", hits / (5 * len(want)))
     assert hits >= 0.9 * 5 * len(want)
+
+
+def test_part_of_the_entries_is_met(spark, monkeypatch):
+    """Clustered vectors: by the same rule a small part of the entries is met, and nothing is missed."""
+    met = []
+    walk = neighbours._enough
+    monkeypatch.setattr(neighbours, "_enough", lambda *a: met.append(walk(*a)) or met[-1])
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(60, 8))
+    rows = [(f"n{i:04}", (centres[i % 60] + 0.05 * rng.normal(size=8)).astype(np.float32).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id string, v array<float>")
+    names = [n for n, _ in rows][::40]
+    got, want = found(df, spark.createDataFrame([(n,) for n in names], "q string"), recall=1.0), brute(rows, set(names), 5)
+    assert {q: set(w) for q, w in got.items()} == {q: set(w) for q, w in want.items()}
+    assert met[0] < 0.3 * len(rows)
