@@ -52,10 +52,32 @@ _PASSAGES = f"""r AS (SELECT 'c' || id AS rid, doc, chunk AS text FROM {_current
 w AS (SELECT rid, coalesce(doc, chr(0)) AS doc, {_words('text')} AS w FROM r WHERE text IS NOT NULL),
 g AS (SELECT rid, doc, len(w) AS words, i, array_to_string(w[i:i + 24], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 23)) AS i FROM w))"""
 
+P6_STRETCHES = f"""WITH {_PASSAGES},
+h AS (SELECT g FROM g GROUP BY g HAVING count(DISTINCT doc) > 1),
+s AS (SELECT DISTINCT rid, words, i - 1 AS first FROM g JOIN h USING (g)),
+o AS (SELECT rid, words, first, CASE WHEN first <= lag(first) OVER (PARTITION BY rid ORDER BY first) + 25 THEN 0 ELSE 1 END AS new FROM s),
+n AS (SELECT rid, words, first, sum(new) OVER (PARTITION BY rid ORDER BY first) AS part FROM o),
+p AS (SELECT rid, words, min(first) AS first, max(first) + 24 AS last FROM n GROUP BY rid, words, part)
+SELECT CASE WHEN rid[1] = 'c' THEN 'chunk' ELSE 'source_quote' END AS field, substr(rid, 2) AS key, CAST(words AS BIGINT) AS words, string_agg(first || '-' || last, ' ' ORDER BY first) AS stretches,
+  CAST(sum(last - first + 1) AS BIGINT) AS shared_words, round(sum(last - first + 1) / words, 6) AS share FROM p GROUP BY rid, words"""
+
+
+def _residuals(field: str, table: str) -> str:
+    return f"""t AS (SELECT id, unnest(regexp_extract_all(lower({field}), '[a-z0-9]+')) AS term FROM {_current(table, 'id')}),
+tf AS (SELECT id, term, count(*) AS tf FROM t GROUP BY ALL),
+r AS (SELECT id, sum(tf) AS r FROM tf GROUP BY id),
+c AS (SELECT term, count(*) AS records, sum(tf) AS c FROM tf GROUP BY term HAVING count(*) > 1),
+n AS (SELECT sum(tf)::DOUBLE AS n FROM tf)
+SELECT '{field}' AS field, id, term, CAST(tf AS BIGINT) AS tf, CAST(records AS BIGINT) AS records, round((tf - r * c / n) / sqrt(r * c / n), 6) AS residual,
+  round((tf - r * c / n) / sqrt(r * c / n) / sqrt((1 - r / n) * (1 - c / n)), 6) AS adjusted FROM tf JOIN r USING (id) JOIN c USING (term), n"""
+
+
 ORACLE = {
     "p2_found": " UNION ALL ".join(_nearest(*x) for x in (("emb", "raw_chunks", "id"), ("emb_ctx", "contextualized_chunks", "id"), ("claim_emb", "claims", "claim_id"))),
     "p3_found": P3,
     "p4_found": f"SELECT * FROM (WITH {_similar('raw_chunks', 'id', 'chunk')}) UNION ALL SELECT * FROM (WITH {_similar('claims', 'claim_id', 'claim_text')})",
     "p5_found": f"SELECT * FROM (WITH {_best_term('chunk', 'raw_chunks')}) UNION ALL SELECT * FROM (WITH {_best_term('chunk_ctx', 'contextualized_chunks')})",
+    "p5_residuals": f"SELECT * FROM (WITH {_residuals('chunk', 'raw_chunks')}) UNION ALL SELECT * FROM (WITH {_residuals('chunk_ctx', 'contextualized_chunks')})",
+    "p6_stretches": P6_STRETCHES,
     "p6_found": f"WITH {_PASSAGES} SELECT DISTINCT least(substr(a.rid, 2), substr(b.rid, 2)) AS rec_a, greatest(substr(a.rid, 2), substr(b.rid, 2)) AS rec_b FROM g a JOIN g b ON a.g = b.g AND a.doc < b.doc",
 }

@@ -113,7 +113,8 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 def p6_stretches(spark: SparkSession, d: str) -> DataFrame:
     rows = spans.stretches(spans.shared_runs(_passages(spark, d)))
     field = F.when(F.substring("rid", 1, 1) == "c", "chunk").otherwise("source_quote")
-    return rows.select(field.alias("field"), F.substring("rid", 2, 2**31 - 1).alias("key"), "words", "stretches", "shared_words", "share")
+    places = F.array_join(F.transform("stretches", lambda s: F.concat_ws("-", s["first"], s["last"])), " ")
+    return rows.select(field.alias("field"), F.substring("rid", 2, 2**31 - 1).alias("key"), "words", places.alias("stretches"), "shared_words", "share")
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
