@@ -212,9 +212,7 @@ def _meeting(pair: pd.DataFrame, agree: int, shingle: int, least: int) -> list[t
         while len(np.unique(x["fn"][s])) >= agree:
             span = x["la"][s].max(), x["ra"][s].min(), x["lb"][s].max(), x["rb"][s].min()
             out = (x["ca"][s] < span[0]) | (x["ca"][s] > span[1]) | (x["cb"][s] < span[2]) | (x["cb"][s] > span[3])
-            if min(span[1] - span[0], span[3] - span[2]) + shingle < least:
-                break
-            if not out.any():
+            if not out.any() and min(span[1] - span[0], span[3] - span[2]) + shingle >= least:
                 found.append((int(span[0]), int(span[1]) + shingle - 1, int(span[2]), int(span[3]) + shingle - 1))
                 break
             # the narrowest interval excludes most: go on without it, but keep the anchor
@@ -252,18 +250,29 @@ def alike_passages(records: DataFrame, least: int = LEAST, similarity: Fraction
     for side in "ab":
         found = found.join(records.select(F.col("rid").alias(side), F.col("text").alias(f"text_{side}")), side)
 
+    def verified(row, known: WordHashes) -> tuple | None:
+        sides = []
+        for text, lo, hi in ((row.text_a, row.first_a, row.last_a), (row.text_b, row.first_b, row.last_b)):
+            words, _ = words_of([text], known)
+            sides.append((lo, runs(words[lo : hi + 1], np.array([hi + 1 - lo]), shingle)[0]))
+        (fa, a), (fb, b) = sides
+        # what lies beyond the first and last shingle in common is no part of the passage
+        shared = np.flatnonzero(np.isin(a, b)), np.flatnonzero(np.isin(b, a))
+        if not len(shared[0]):
+            return None
+        (la, ra), (lb, rb) = ((x[0], x[-1]) for x in shared)
+        one, two = set(a[la : ra + 1].tolist()), set(b[lb : rb + 1].tolist())
+        both = len(one & two)
+        if min(ra - la, rb - lb) + shingle < least or similarity.denominator * both < similarity.numerator * len(one | two):
+            return None
+        return row.a, row.b, int(fa + la), int(fa + ra) + shingle - 1, int(fb + lb), int(fb + rb) + shingle - 1, both / len(one | two)
+
+    order = ["a", "b", "first_a", "last_a", "first_b", "last_b"]
+
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
         for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                sets = []
-                for text, lo, hi in ((row.text_a, row.first_a, row.last_a), (row.text_b, row.first_b, row.last_b)):
-                    words, _ = words_of([text], known)
-                    sets.append(set(runs(words[lo : hi + 1], np.array([hi + 1 - lo]), shingle)[0].tolist()))
-                out.append(len(sets[0] & sets[1]) / len(sets[0] | sets[1]))
-            batch["similarity"] = np.array(out, float)
-            yield batch.loc[[s * similarity.denominator >= similarity.numerator - 1e-9 for s in out], ["a", "b", "first_a", "last_a", "first_b", "last_b", "similarity"]]
+            out = [v for row in batch.itertuples(index=False) if (v := verified(row, known))]
+            yield pd.DataFrame(out, columns=[*order, "similarity"])
 
-    order = ["a", "b", "first_a", "last_a", "first_b", "last_b"]
-    return found.select(*order, "text_a", "text_b").mapInPandas(verify, f"{spans}, similarity double")
+    return found.select(*order, "text_a", "text_b").mapInPandas(verify, f"{spans}, similarity double").distinct()
