@@ -1,8 +1,9 @@
 """Problem 3: cutting oversized texts at natural boundaries, with overlap.
 
-A text is parsed into a tree: sections (a heading and what follows), paragraphs, list items, lines, sentences,
-words. Nodes that fit are never opened; neighbouring subtrees are merged bottom-up while they fit together; only
-oversized nodes are descended into. A single word beyond the limit is cut between characters.
+The runs of blanks of a text are its possible cuts, and each has a rank: before a heading by the heading's depth, then between paragraphs, before a
+list item by its indentation, between lines, sentences, words. The cuts of the strongest rank within a node make its children, so that the ranks
+give a tree: nested sections, paragraphs, nested items, lines, sentences, words. Nodes that fit are never opened; neighbouring subtrees are merged bottom-up while they fit together; only
+oversized nodes are descended into. What an opened section leaves over is not merged with its siblings. A single word beyond the limit is cut between characters.
 """
 
 from __future__ import annotations
@@ -18,12 +19,24 @@ LIMIT, OVERLAP = 1000, 100
 #: kinds of boundary, strongest first; an index into it is the class of a run of blanks
 KINDS = ["paragraph", "line", "sentence", "word"]
 
+# Words that begin a heading when a number follows, by the depth of the section.
+HEADING_WORDS = {
+    "part": 1, "title": 1, "annex": 1, "appendix": 1, "chapter": 2, "section": 3, "article": 4, "item": 4,
+    "teil": 1, "titel": 1, "anhang": 1, "kapitel": 2, "abschnitt": 3, "artikel": 4,
+    "partie": 1, "titre": 1, "annexe": 1, "chapitre": 2,
+    "parte": 1, "título": 1, "anexo": 1, "capítulo": 2, "sección": 3, "artículo": 4,
+}
 _BLANKS = re.compile(r"[ \t\r\n]+")
-_HEADING = re.compile(
-    r"(?:#{1,6} |<h[1-6]|(?:chapter|part|title|article|section|annex|appendix|item|kapitel|artikel|abschnitt|chapitre|titre|annexe|capítulo|artículo|sección|anexo)\s+[\divxlc]+\b[^\r\n]{0,80}(?:[\r\n]|$)|\d+(?:\.\d+)+\.? \S[^\r\n]{0,78}[^.;,\s]\s*(?:[\r\n]|$))",
-    re.IGNORECASE,
-)
+_HASHES = re.compile(r"#{1,6}(?= )|<h([1-6])\b", re.IGNORECASE)
+_NUMBERED = re.compile(r"(\d+(?:\.\d+)*)\.? \S[^\r\n]{0,78}[^.;:,\s][ \t\r]*(?:\n|$)")
+_WORDED = re.compile(rf"({'|'.join(HEADING_WORDS)})\s+[\divxlc]+\b[^\r\n]{{0,80}}(?:[\r\n]|$)", re.IGNORECASE)
+_TITLE = re.compile(r"[^\W\d_][^\r\n]{0,78}[^.;:,!?\s](?=[ \t\r]*\n[ \t\r]*\n)")
 _ITEM = re.compile(r"(?:[-*•·–]|\(?[a-z\d]{1,3}[.)]|\([ivx]+\)|<li\b)[ \t]")
+#: depths of headings and of items; a plain line between paragraphs is the least of headings
+DEPTHS, TITLE, INDENTS = 7, 6, 4
+PARAGRAPH = DEPTHS
+ITEM = PARAGRAPH + 1
+LINE, SENTENCE, WORD = (ITEM + INDENTS + i for i in range(3))
 
 Span = tuple[int, int]
 
@@ -38,72 +51,105 @@ def runs_of_blanks(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def boundary(runs: list[tuple[int, int, int]], size: int, limit: int = LIMIT) -> str:
-    """The first kind at which cutting leaves no stretch above ``limit``, or ``none``."""
-    longest, open_at = [0] * len(KINDS), [0] * len(KINDS)
-    for start, end, kind in [*runs, (size, size, 0)]:
-        for k in range(kind, len(KINDS)):
-            longest[k] = max(longest[k], start - open_at[k])
-            open_at[k] = end
-    return next((name for name, n in zip(KINDS, longest) if n <= limit), "none")
-
-
-def _levels(text: str, runs: list[tuple[int, int, int]]) -> list[list[Span]]:
-    """Cuts (start and end of the blanks) by level of the tree, each level holding those above it."""
-    sections, paragraphs, items, lines, sentences, words = ([] for _ in range(6))
-    for start, end, kind in runs:
-        cut = (start, end)
-        heading = kind < 2 and _HEADING.match(text, end)
-        if heading:
-            sections.append(cut)
-        if heading or kind == 0:
-            paragraphs.append(cut)
-        if heading or kind == 0 or (kind == 1 and _ITEM.match(text, end)):
-            items.append(cut)
-        if kind <= 1:
-            lines.append(cut)
-        if kind <= 2:
-            sentences.append(cut)
-        words.append(cut)
-    return [sections, paragraphs, items, lines, sentences, words]
-
-
-def _pack(node: Span, level: int, cuts: list[list[Span]], place: list[int], room: int) -> list[Span]:
-    """Spans of at most ``room`` that cover ``node`` but for the blanks between them."""
-    start, end = node
-    if end - start <= room:
-        return [node] if end > start else []
-    if level == len(cuts):
-        return [(i, min(end, i + room)) for i in range(start, end, room)]
-    mine, i, at, units = cuts[level], place[level], start, []
-    while i < len(mine) and mine[i][0] < end:
-        if mine[i][0] >= start:
-            units += _pack((at, mine[i][0]), level + 1, cuts, place, room)
-            at = mine[i][1]
-        i += 1
-    place[level] = i
-    units += _pack((at, end), level + 1, cuts, place, room)
-    merged: list[Span] = []
-    for u in units:
-        if merged and u[1] - merged[-1][0] <= room:
-            merged[-1] = (merged[-1][0], u[1])
-        else:
-            merged.append(u)
-    return merged
-
-
-def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, int]]:
+def heading(text: str, at: int, after_paragraph: bool) -> int | None:
+    """The depth, from 0, of the heading that starts at ``at``."""
+    if m := _HASHES.match(text, at):
+        return int(m[1] or len(m[0])) - 1
+    if m := _WORDED.match(text, at):
+        return HEADING_WORDS[m[1].lower()] - 1
+    m = _NUMBERED.match(text, at)
+    if m and (after_paragraph or "." in m[1]):
+        return min(m[1].count("."), TITLE - 1)
+    return TITLE if after_paragraph and _TITLE.match(text, at) else None
+
+
+class Tree:
+    """The cuts of a text with their kinds and ranks. Cuts at the edges of the text part nothing."""
+
+    def __init__(self, text: str):
+        self.end = len(text)
+        self.cuts = runs_of_blanks(text)
+        self.kinds = [kind for _, _, kind in self.cuts]
+        self.ranks = []
+        first = self.cuts[0][1] if self.cuts and not self.cuts[0][0] else 0
+        titled = heading(text, first, True) is not None
+        for cut in self.cuts:
+            rank = self._rank(text, *cut)
+            if titled and cut[0] and cut[2] < 2:  # the end of a heading, which stays with the words below it
+                titled, rank = False, rank if rank < DEPTHS else WORD
+            titled = titled or rank < DEPTHS
+            self.ranks.append(rank)
+
+    @staticmethod
+    def _rank(text: str, start: int, end: int, kind: int) -> int:
+        if kind > 1:
+            return SENTENCE if kind == 2 else WORD
+        depth = heading(text, end, kind == 0)
+        if depth is not None:
+            return depth
+        if _ITEM.match(text, end) and kind == 1:
+            return ITEM + min((end - 1 - text.rfind("\n", start, end)) // 2, INDENTS - 1)
+        return PARAGRAPH if kind == 0 else LINE
+
+    def children(self, ranks: list[int], lo: int, hi: int, node: Span) -> Iterator[tuple[int, int, Span]]:
+        """The parts of a node at the strongest of its cuts ``lo`` to ``hi``, each with its own cuts."""
+        top, first, at = min(ranks[lo:hi]), lo, node[0]
+        for k in range(lo, hi):
+            if ranks[k] == top:
+                yield first, k, (at, self.cuts[k][0])
+                first, at = k + 1, self.cuts[k][1]
+        yield first, hi, (at, node[1])
+
+    def boundary(self, limit: int) -> str:
+        """The first kind at which cutting leaves no stretch above ``limit``, or ``none``: the weakest that oversized nodes are opened by,
+        as kinds alone rank the cuts."""
+
+        def weakest(lo: int, hi: int, node: Span) -> int:
+            if node[1] - node[0] <= limit:
+                return 0
+            if lo == hi:
+                return len(KINDS)
+            return max(min(self.kinds[lo:hi]), *(weakest(*child) for child in self.children(self.kinds, lo, hi, node)))
+
+        return [*KINDS, "none"][weakest(0, len(self.cuts), (0, self.end))]
+
+    def pack(self, room: int) -> list[Span]:
+        """Spans of at most ``room`` that cover the text but for the blanks between them."""
+
+        def packed(lo: int, hi: int, node: Span) -> list[Span]:
+            start, end = node
+            if end - start <= room:
+                return [node] if end > start else []
+            if lo == hi:
+                return [(i, min(end, i + room)) for i in range(start, end, room)]
+            sections, merged, closed = min(self.ranks[lo:hi]) < DEPTHS, [], True
+            for child in self.children(self.ranks, lo, hi, node):
+                opened = sections and child[2][1] - child[2][0] > room
+                for i, u in enumerate(packed(*child)):
+                    if not closed and not (opened and i == 0) and u[1] - merged[-1][0] <= room:
+                        merged[-1] = (merged[-1][0], u[1])
+                    else:
+                        merged.append(u)
+                        closed = False
+                closed = closed or opened
+            return merged
+
+        return packed(0, len(self.cuts), (0, self.end))
+
+
+def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP, tree: Tree | None = None) -> list[tuple[int, int, int]]:
     """``(start, fresh, end)`` of the pieces in order; ``text[start:fresh]`` repeats the end of the piece before.
 
     No piece is longer than ``limit``; the repeated part has at most ``overlap`` characters and starts at a word
     where there is one. Every character that is not a blank at a cut is in the fresh part of exactly one piece.
+    A text of blanks only has one empty piece.
     """
     if not 0 <= overlap < limit:
         raise ValueError("overlap must be at least 0 and below limit")
-    runs = runs_of_blanks(text)
-    cuts = _levels(text, runs)
+    tree = tree or Tree(text)
+    runs = tree.cuts
     out, before, r = [], 0, 0
-    for start, end in _pack((0, len(text)), 0, cuts, [0] * len(cuts), limit - overlap):
+    for start, end in tree.pack(limit - overlap):
         while r < len(runs) and runs[r][1] <= start:
             r += 1
         if not out or not overlap:
@@ -116,7 +162,7 @@ def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[
                 k -= 1
             out.append((begin if word is None else word, start, end))
         before = out[-1][1]
-    return out
+    return out or [(0, 0, 0)]
 
 
 def _oversized(df: DataFrame, key: str, text: str, limit: int) -> DataFrame:
@@ -128,14 +174,15 @@ def split_oversized(df: DataFrame, key: str, text: str, limit: int = LIMIT, over
 
     ``piece`` counts from 1, ``begin`` and ``fresh`` are character offsets (0-based) of the piece and of its first
     character that is not repeated, ``boundary`` is the kind of cut the text as a whole needs. Null, empty and
-    shorter texts have no rows; a text of blanks only has none either. No exchange; texts are worked on one by one.
+    shorter texts have no rows; a text of blanks only has one, empty piece. No exchange; texts are worked on one by one.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, t in zip(batch["id"], batch["__t"]):
-                kind = boundary(runs_of_blanks(t), len(t), limit)
-                rows = [(name, n, kind, b, f, t[b:e]) for n, (b, f, e) in enumerate(pieces(t, limit, overlap), 1)]
+                tree = Tree(t)
+                kind = tree.boundary(limit)
+                rows = [(name, n, kind, b, f, t[b:e]) for n, (b, f, e) in enumerate(pieces(t, limit, overlap, tree), 1)]
                 yield pd.DataFrame(rows, columns=["id", "piece", "boundary", "begin", "fresh", "piece_text"])
 
     rows = _oversized(df, key, text, limit)
