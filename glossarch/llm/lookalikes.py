@@ -1,8 +1,9 @@
 """Problem 1: one form for texts that look the same.
 
-A precomputed table says what every character or grapheme cluster is written as; a compiled longest-match
-pattern walks the text once and replaces what the table changes. Nothing visible is merged: case, accents,
-digits, raised digits, dash lengths and punctuation stay as they are.
+A precomputed table says what characters and grapheme clusters are written as: all single characters, and all bases with a mark that Unicode can compose. It is checked
+for conflicts when it is built. A compiled longest-match pattern walks the text once and replaces what the table changes; clusters of more marks, of which
+there is no end, are written by the rules the table is built by, and remembered. Nothing visible is merged: case, accents,
+digits, raised digits, dash lengths and punctuation stay as they are. Letters in a style of their own (bold, script, double-struck) are visibly different, too.
 """
 
 from __future__ import annotations
@@ -21,11 +22,17 @@ from glossarch.plans.scratch import written
 
 # Letters of other alphabets (first word of a pair) that have the shape of another letter (second).
 SAME_SHAPE = {
-    "cyrillic": ("АВЕКМНОРСТХЅІЈҮԚԜ", "ABEKMHOPCTXSIJYQW"),
-    "cyrillic small": ("аеорсухѕіјһԁԛԝ", "aeopcyxsijhdqw"),
+    "cyrillic": ("АВЕКМНОРСТХЅІЈҮԚԜӀѴ", "ABEKMHOPCTXSIJYQWIV"),
+    "cyrillic small": ("аеорсухѕіјһԁԛԝӏѵ", "aeopcyxsijhdqwlv"),
     "greek": ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ", "ABEZHIKMNOPTYXCJ"),
-    "greek small": ("οϲϳ", "ocj"),
-    "armenian": ("Օօ", "Oo"),
+    "greek small": ("οϲϳνρ", "ocjvp"),
+    "armenian": ("ՕՏԼ", "OSL"),
+    "armenian small": ("օոսհյց", "onuhjg"),
+    "cherokee": ("ᎠᎢᎪᎫᎬᎳᎷᎻᏀᏃᏒᏔᏙᏚᏞᏟᏢᏦᏴ", "DTAJEWMHGZRWVSLCPKB"),
+    "coptic": ("ⲂⲎⲒⲔⲘⲚⲞⲢⲤⲦⲬ", "BHIKMNOPCTX"),
+    "coptic small": ("ⲟⲣⲥ", "opc"),
+    "lisu": ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"),
+    "small capitals with the shape of a small letter": ("ᴄᴏᴠᴡᴢꜱ", "covwzs"),
     "micro sign": ("µ", "μ"),
 }
 # Code points of a short hyphen besides the ASCII one.
@@ -34,6 +41,8 @@ HYPHENS = "‐‑－"
 WIDE_FORMATS = [*range(0x600, 0x606), 0x6DD, 0x70F, 0x890, 0x891, 0x8E2, 0x110BD, 0x110CD]
 # Characters without width outside the category of format characters.
 MORE_WIDTHLESS = [0x34F, 0x17B4, 0x17B5, *range(0x180B, 0x1810), *range(0xFE00, 0xFE10), *range(0xE0100, 0xE01F0)]
+# Half-width voiced sound marks, letters by category.
+HALF_WIDTH_MARKS = "\uff9e\uff9f"
 # Line breaks and separators outside the category of space separators.
 BREAKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85  "
 
@@ -44,7 +53,7 @@ def _kind(c: str) -> str:
         return "blank"
     if (cat in ("Cf", "Cc") and o not in WIDE_FORMATS) or o in MORE_WIDTHLESS:
         return "widthless"
-    return "mark" if cat[0] == "M" else ""
+    return "mark" if cat[0] == "M" or c in HALF_WIDTH_MARKS else ""
 
 
 def _single(c: str, shapes: dict[str, str]) -> str:
@@ -60,7 +69,8 @@ def _single(c: str, shapes: dict[str, str]) -> str:
 def _ligature(c: str, parts: str) -> bool:
     letters = [chr(int(x, 16)) for x in parts.split()]
     here = ord(c) < 0x600 or 0xFB00 <= ord(c) < 0xFB50
-    return here and len(letters) > 1 and all(U.category(x)[0] == "L" for x in letters)
+    # ligatures of letters, and Roman numerals of one or more letters
+    return (here and len(letters) > 1 or U.category(c) == "Nl") and all(U.category(x)[0] == "L" for x in letters)
 
 
 def _set(chars: list[str]) -> str:
@@ -74,7 +84,7 @@ def _set(chars: list[str]) -> str:
 
 
 class Transducer(dict):
-    """Maps a matched stretch to its one form; what was met is remembered (up to ``room`` entries)."""
+    """Maps a matched stretch to its one form; clusters that are not in the table are remembered when met (up to ``room`` entries)."""
 
     def __init__(self, same_shape: dict[str, tuple[str, str]] = SAME_SHAPE, room: int = 200_000):
         super().__init__()
@@ -90,25 +100,38 @@ class Transducer(dict):
             if b in self.shapes or _kind(a) or _kind(b):
                 raise ValueError(f"{a!r} -> {b!r} leads to another rule")
         space: dict[str, list[str]] = {"blank": [], "widthless": [], "mark": [], "changed": []}
-        for o in (*range(0x3400), *range(0xA000, 0xAC00), *range(0xF900, 0x11000), *range(0x1D000, 0x1D800), *range(0x2F800, 0x2FA20), *range(0xE0000, 0xE0200)):
-            c = chr(o)
+        for c in map(chr, range(0x110000)):
+            if (cat := U.category(c)) in ("Cn", "Co", "Cs"):  # not assigned, private, surrogates
+                continue
             if kind := _kind(c):
                 space[kind].append(c)
-            elif (form := self.cluster(c)) != c:
+            elif cat == "Lo" and "가" <= c <= "힣" or not (U.decomposition(c) or c in self.shapes):
+                continue
+            else:
+                parts = U.normalize("NFD", c)
+                form = self.cluster(c)
                 if self.cluster(form) != form:
-                    raise ValueError(f"U+{o:04X} is not stable: {form!r}")
-                space["changed"].append(c)
+                    raise ValueError(f"U+{ord(c):04X} is not stable: {form!r}")
+                if form != c:
+                    space["changed"].append(c)
+                    self[c] = form
+                if len(parts) == 2 and _kind(parts[1]) == "mark":  # a base with one mark, ready-made or not
+                    if self.setdefault(parts, form) != form:
+                        raise ValueError(f"{parts!r} is written as {self[parts]!r} and {form!r}")
         blank, none, mark, changed = (_set(v) for v in space.values())
         odd = _set([c for c in space["blank"] if c != " "])
         #: a text in which this finds nothing is in its form already
         self.trigger = re.compile(f"[{odd}{none}{mark}{changed}ᄀ-ᇿ]|  |^ | $")
+        self.room += len(self)
         self.pattern = re.compile(
+            # syllables and parts of syllables, to be joined
+            f"[가-힣ᄀ-ᇿ][{mark}{none}ᄀ-ᇿ]+"
             # a base with marks, widthless characters between them or not
-            f"[^{blank}{none}{mark}](?=[{mark}{none}])[{none}]*[{mark}][{mark}{none}]*"
+            f"|[^{blank}{none}{mark}](?=[{mark}{none}])[{none}]*[{mark}][{mark}{none}]*"
             # blanks and widthless characters, unless it is one plain space
             f"| [{blank}{none}]+|[{odd}{none}][{blank}{none}]*"
-            # parts of syllables, to be joined; everything else the table changes
-            f"|[ᄀ-ᇿ]+|[{changed}]|[{mark}]+"
+            # everything else the table changes
+            f"|[{changed}]|[{mark}][{mark}{none}]*"
         )
         self.blanks = set(space["blank"])
         self.widthless = set(space["widthless"])
@@ -129,8 +152,7 @@ class Transducer(dict):
     def __call__(self, text: str) -> str:
         if not self.trigger.search(text):
             return text
-        form = self.pattern.sub(lambda m: self[m.group()], text).strip(" ")
-        return form if U.is_normalized("NFC", form) else U.normalize("NFC", form)  # half-width voiced marks
+        return self.pattern.sub(lambda m: self[m.group()], text).strip(" ")
 
 
 @lru_cache(maxsize=1)
@@ -169,8 +191,14 @@ def same_look_groups(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def same_look_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``id_a, id_b``: pairs of keys whose texts are stored differently but look the same; each once, smaller key first."""
-    rows = same_look_groups(df, key, text)
-    a = rows.select(F.col("key").alias("id_a"), "class_id", F.col("written").alias("wa"))
-    b = rows.select(F.col("key").alias("id_b"), "class_id", F.col("written").alias("wb"))
-    return a.join(b, "class_id").filter("id_a < id_b and wa <> wb").select("id_a", "id_b")
+    """``id_a, id_b``: pairs of keys whose texts are stored differently but look the same; each once, smaller key first.
+
+    Different stored texts of a class meet first, once each, and then their records, so that the copies of one text are never compared with each other.
+    """
+    rows = written(same_look_groups(df, key, text), "same")
+    kinds = rows.select("class_id", "written").distinct()
+    met = kinds.withColumnRenamed("written", "wa").join(kinds.withColumnRenamed("written", "wb"), "class_id").filter("wa < wb")
+    a = rows.select(F.col("key").alias("ka"), "class_id", F.col("written").alias("wa"))
+    b = rows.select(F.col("key").alias("kb"), "class_id", F.col("written").alias("wb"))
+    both = met.join(a, ["class_id", "wa"]).join(b, ["class_id", "wb"])
+    return both.select(F.least("ka", "kb").alias("id_a"), F.greatest("ka", "kb").alias("id_b"))

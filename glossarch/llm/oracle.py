@@ -52,6 +52,27 @@ _PASSAGES = f"""r AS (SELECT 'c' || id AS rid, doc, chunk AS text FROM {_current
 w AS (SELECT rid, coalesce(doc, chr(0)) AS doc, {_words('text')} AS w FROM r WHERE text IS NOT NULL),
 g AS (SELECT rid, doc, len(w) AS words, i, array_to_string(w[i:i + 24], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 23)) AS i FROM w))"""
 
+# Written apart from the operator: the letters, hyphens and widthless characters of the test tables, by code point or by example.
+_WIDE = "".join(map(chr, range(0xFF01, 0xFF5F)))
+_NARROW = "".join(map(chr, range(0x21, 0x7F))).replace("'", "''")
+_SHAPES = ("АВЕКМНОРСТХЅІЈаеорсухѕіјһԁёЁїЇѐЀӓӒӧӦӱӰΑΒΕΖΗΙΚΜΝΟΡΤΥΧονρµ‐‑", "ABEKMHOPCTXSIJaeopcyxsijhdëËïÏèÈäÄöÖÿŸABEZHIKMNOPTYXovpμ--")
+_LIGATURES = [("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "ſt"), ("ﬆ", "st")]
+_WIDTHLESS = r"[\x00-\x08\x0E-\x1B\x7F-\x84\x86-\x9F\x{AD}\x{34F}\x{61C}\x{180B}-\x{180F}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{FE00}-\x{FE0F}\x{FEFF}\x{E0001}-\x{E01EF}]"
+_SPACES = r"[\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
+
+def _form(text: str) -> str:
+    out = f"regexp_replace({text}, '{_WIDTHLESS}', '', 'g')"
+    for one, many in _LIGATURES:
+        out = f"replace({out}, '{one}', '{many}')"
+    # letters of the same shape, ready-made or with combining accents, which are then joined to the new letter
+    out = f"nfc_normalize(translate(nfc_normalize(translate({out}, '{_WIDE}', '{_NARROW}')), '{_SHAPES[0]}', '{_SHAPES[1]}'))"
+    return f"trim(regexp_replace({out}, '{_SPACES}', ' ', 'g'))"
+
+
+P1 = f"""WITH f AS (SELECT id, chunk, {_form('chunk')} AS form FROM {_current('raw_chunks', 'id')} WHERE chunk <> '')
+SELECT a.id AS id_a, b.id AS id_b FROM f a JOIN f b ON a.form = b.form AND a.chunk <> b.chunk AND a.id < b.id"""
+
 P6_STRETCHES = f"""WITH {_PASSAGES},
 h AS (SELECT g FROM g GROUP BY g HAVING count(DISTINCT doc) > 1),
 s AS (SELECT DISTINCT rid, words, i - 1 AS first FROM g JOIN h USING (g)),
@@ -73,6 +94,8 @@ SELECT '{field}' AS field, id, term, CAST(tf AS BIGINT) AS tf, CAST(records AS B
 
 
 ORACLE = {
+    "p1_found": P1,
+    "p1_one_form": f"SELECT id, {_form('chunk')} AS form FROM {_current('raw_chunks', 'id')}",
     "p2_found": " UNION ALL ".join(_nearest(*x) for x in (("emb", "raw_chunks", "id"), ("emb_ctx", "contextualized_chunks", "id"), ("claim_emb", "claims", "claim_id"))),
     "p3_found": P3,
     "p4_found": f"SELECT * FROM (WITH {_similar('raw_chunks', 'id', 'chunk')}) UNION ALL SELECT * FROM (WITH {_similar('claims', 'claim_id', 'claim_text')})",

@@ -33,6 +33,13 @@ def test_stable(text):
     assert transducer()(once) == once
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from("ｶﾞﾟ̣́각가её᾽")), max_size=12))
+def test_composed_in_one_pass(text):
+    once = transducer()(text)
+    assert unicodedata.is_normalized("NFC", once) and transducer()(once) == once
+
+
 def test_conflicts_are_found():
     with pytest.raises(ValueError, match="mapped"):
         Transducer({"x": ("а", "a"), "y": ("а", "o")})
