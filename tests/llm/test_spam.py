@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 
 from glossarch.llm import spam
@@ -32,28 +33,38 @@ def test_kinds(spark):
     assert spam.spam_pages(df.filter("false"), "doc_id", "text", "lang", spam.Thresholds()).count() == 0
 
 
-def test_calibration(spark, monkeypatch):
-    monkeypatch.setattr(spam, "ENOUGH", 3)
+def test_calibration(spark):
     pages = [(i, PAGES["keywords"] + f"x{i}", "en-GB", "spam") for i in range(5)] + [(100 + i, FINE["prose"], "en", "ok") for i in range(5)]
     pages += [(200, PAGES["tags"], "fr", "spam"), (201, PROSE, None, "ok"), (202, PROSE, "en", None), (203, None, "en", "ok"), (204, PROSE, "en", "other")]
     df = spark.createDataFrame([p[:3] for p in pages], "doc_id bigint, text string, lang string")
     labels = spark.createDataFrame([(p[0], p[3]) for p in pages] * 2, "doc_id bigint, label string")
     rule = spam.calibrated(df, "doc_id", "text", "lang", labels)
-    assert set(rule.by_language) == {"en"} and rule.repetition("fr") == rule.repetition(None) == rule.repeated
-    assert spam.calibrated(df, "doc_id", "text", "lang", labels.filter("false")).by_language == {}
+    # nothing is wrong by the general thresholds, so they stay
+    assert set(rule.by_language) == {"en", "fr"} and rule.general == rule.by_language["en"] == rule.by_language["fr"] == spam.SIGNALS
+    none = spam.calibrated(df, "doc_id", "text", "lang", labels.filter("false"))
+    assert none.by_language == {} and none.general == spam.SIGNALS
 
 
-@pytest.mark.parametrize("sf", ["sf0.1"])
-def test_held_out_accuracy(spark, sf):
+def test_fit_is_drawn_to_all_languages():
+    n = len(spam.GRID)
+    low, high = np.array([[0] + [9] * (n - 1)]), np.array([[40] * (n - 1) + [0]])
+    assert spam._fitted(high * 10, high * 10, 500).tolist() == [spam.GRID[-1]]
+    # many rows of its own outweigh the others, a few do not
+    assert spam._fitted(low * 10, high, 100).tolist() == [spam.GRID[0]] and spam._fitted(np.minimum(low, 1), high, 40).tolist() == [spam.GRID[-1]]
+    assert spam._fitted(np.zeros((1, n)), np.zeros((1, n)), 0).tolist() == [1.0]
+
+
+@pytest.mark.parametrize("sf, part", [("sf0.1", "doc_id % 2"), ("sf0.1", "crc32(coalesce(source, '')) % 2"), ("sf0.1", "crc32(coalesce(publisher, '')) % 2")])
+def test_held_out_accuracy(spark, sf, part):
     import os
 
     d = f"/root/testdata/{sf}"
     if not os.path.exists(d):
         pytest.skip("no test tables")
-    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "lang")
-    labels = spark.read.parquet(f"{d}/doc_labels.parquet").filter("label is not null")
-    held = labels.filter("doc_id % 2 = 1")
-    rule = spam.calibrated(docs, "doc_id", "text", "lang", labels.filter("doc_id % 2 = 0"))
+    docs = spark.read.parquet(f"{d}/documents.parquet").selectExpr("doc_id", "text", "lang", f"{part} AS part")
+    labels = spark.read.parquet(f"{d}/doc_labels.parquet").filter("label is not null").join(docs.select("doc_id", "part"), "doc_id")
+    held = labels.filter("part = 1")
+    rule = spam.calibrated(docs, "doc_id", "text", "lang", labels.filter("part = 0"))
     found = spam.spam_pages(docs.join(held.select("doc_id"), "doc_id"), "doc_id", "text", "lang", rule)
     got = {r["key"] for r in found.collect()}
     want = {r["doc_id"] for r in held.filter("label = 'spam'").collect()}
@@ -97,3 +108,25 @@ def test_one_word_lines_and_link_texts(spark):
         "prose on one word": "The insurance of a member covers the loss of the member, and the insurance ends with the year in which the insurance was made.",
     }
     assert found_of(spark, bad | fine) == set(bad)
+
+
+def test_pages_met_in_review(spark):
+    rng = np.random.default_rng(0)
+    goods = "camera lens tripod battery charger flash filter case strap memory card printer".split()
+    first, last = "Anna John Peter Maria Hans Luis Marie Paul Eva Karl Lena Hugo".split(), "Smith Brown Weber Novak Garcia Martin Rossi Klein Costa Fischer".split()
+    terms = "contract clause party notice agency licence permit register tariff levy duty fee".split()
+    kinds = ["Initial application", "Renewal of licence", "Late notification", "Inspection visit", "Amendment"]
+    bad = {
+        "advertising line": "\n".join(["Buy the best cheap holiday insurance now with our great discount offer for all your family trips today"] * 200),
+        "keyword line": "\n".join(["cheap flights hotel deals insurance loans credit cards mortgage travel booking discount vouchers"] * 100),
+        "draws": " ".join(rng.choice(goods, 600)),
+        "brands": "\n".join(f"Brand{rng.integers(20)} X{rng.integers(40)}00" for _ in range(400)),
+    }
+    fine = {
+        "attendees": "Attendees: " + ", ".join(f"{rng.choice(first)} {rng.choice(last)}" for _ in range(48)),
+        "definitions": "\n".join(f"{rng.choice(terms)} {i}: {rng.choice(terms)}, {rng.choice(terms)}" for i in range(60)),
+        "synonyms": "\n".join(f"term{i}: synonym{i}, other{i}, further{i}" for i in range(60)),
+        "fees": "Annex II Fees\n" + "\n".join(f"{rng.choice(kinds)} class {i} EUR {100 + i * 15}" for i in range(39)),
+        "references": "\n".join(f"{rng.choice(last)}, A., {rng.choice(last)}, N. Annual report on water regulation {1990 + i % 30}, {i}" for i in range(40)),
+    }
+    assert found_of(spark, bad | fine) == set(bad)
