@@ -2,21 +2,22 @@
 
 Shares are filled like vessels: a source that would need more than its cap is held at it and the excess goes to the
 others in proportion, until nothing exceeds. A source's epochs are then whole repetitions of every document plus a
-seeded part of them: documents in the order of a hash, up to the tokens that are missing. The order is never materialised; a
-histogram over hash slices gives the slice at which to stop, a second one refines it.
+seeded part of them: documents in the order of a hash, up to the tokens that are missing; the one that goes beyond is taken where that is nearer to the
+goal. The order is never materialised: running sums over a histogram of hash slices give the slice at which to stop, those over the finer slices of that one refine it,
+and the few documents of the last are taken one by one. All of it stays in tables; the driver has the sources' allotments alone.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossarch.plans.scratch import written
 
-#: slices of each of the two histograms, and the rows the driver takes of one at most; with very many sources slices are fewer
-SLICES, ROWS = 1 << 12, 1 << 20
+#: slices of each of the two histograms, and the most sources
+SLICES, SOURCES = 1 << 12, 100_000
 
 
 @dataclass
@@ -26,8 +27,6 @@ class Allotment:
     max_repeats: int
     available: int
     tokens: float = 0.0
-    #: slice and finer slice up to which documents occur once more
-    limit: tuple[int, int] = (-1, -1)
 
     @property
     def epochs(self) -> float:
@@ -61,59 +60,56 @@ def _weights(weights: DataFrame) -> dict[str, tuple[float, int]]:
     """One row per source: of contradicting rows that of the greatest share. Null, negative or NaN shares are 0, null caps are 1."""
     share = F.when((F.col("target_share") > 0) & ~F.isnan("target_share"), F.col("target_share")).otherwise(0.0)
     rows = weights.filter("source is not null").select("source", share.alias("s"), F.greatest(F.coalesce("max_repeats", F.lit(1)), F.lit(0)).alias("m"))
-    best = rows.groupBy("source").agg(F.max(F.struct("s", "m")).alias("b"))
-    return {r["source"]: (r["b"]["s"], r["b"]["m"]) for r in best.collect()}
+    best = rows.groupBy("source").agg(F.max(F.struct("s", "m")).alias("b")).limit(SOURCES + 1).collect()
+    if len(best) > SOURCES:
+        raise ValueError(f"more than {SOURCES} sources")
+    return {r["source"]: (r["b"]["s"], r["b"]["m"]) for r in best}
+
+
+def _reached(sums: DataFrame, order: str) -> DataFrame:
+    """``source``, the slice in which the tokens a source misses (``left``) are passed, and what is missing before it."""
+    total = F.sum("n").over(Window.partitionBy("source").orderBy(order))
+    rows = sums.withColumn("total", total).filter((F.col("total") - F.col("n") <= F.col("left")) & (F.col("left") < F.col("total")))
+    return rows.select("source", F.col(order).alias(f"edge_{order}"), (F.col("left") - F.col("total") + F.col("n")).alias("left"))
 
 
 def mixture(counted: DataFrame, weights: DataFrame, total: float | None = None, seed: int = 0) -> tuple[DataFrame, list[Allotment]]:
     """The mixture as ``key, source, tokens, repeats`` (documents that occur at least once) and the allotments.
 
     ``counted`` has ``key, source, tokens``; rows with null source, without tokens or with a source that has no weight take no
-    part. ``total`` is the wanted size, by default that of all documents taking part. ``weights`` (one row per source) is collected.
+    part. ``total`` is the wanted size, by default that of all documents taking part. ``weights`` (one row per source, at most ``SOURCES``) is
+    collected. What a source reaches differs from its plan by at most half of the tokens of one of its documents.
     """
-    known = _weights(weights)
-    slices = min(SLICES, 1 << max(16, ROWS // max(len(known), 1)).bit_length() - 1)
-    place = F.pmod(F.xxhash64(F.lit(seed), F.col("key")), F.lit(slices * slices))
+    known, spark = _weights(weights), counted.sparkSession
+    place = F.pmod(F.xxhash64(F.lit(seed), F.col("key")), F.lit(SLICES * SLICES))
     rows = counted.filter("source is not null and tokens > 0").select("key", "source", "tokens", place.alias("h"))
-    rows = written(rows.select("key", "source", "tokens", F.floor(F.col("h") / slices).cast("int").alias("coarse"), (F.col("h") % slices).cast("int").alias("fine")), "counted")
-    weighted = rows.filter(F.col("source").isin([s for s, (w, m) in known.items() if w > 0 and m > 0]))
-    have = {r["source"]: r["n"] for r in weighted.groupBy("source").agg(F.sum("tokens").alias("n")).collect()}
+    used = spark.createDataFrame([(s,) for s, (w, m) in known.items() if w > 0 and m > 0], "source string")
+    rows = rows.join(F.broadcast(used), "source", "left_semi")
+    rows = written(rows.select("key", "source", "tokens", F.floor(F.col("h") / SLICES).cast("int").alias("coarse"), (F.col("h") % SLICES).cast("int").alias("fine")), "counted")
+    have = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.sum("tokens").alias("n")).collect()}
     plan = [Allotment(s, w, m, have.get(s, 0)) for s, (w, m) in sorted(known.items())]
     fill(plan, float(sum(have.values()) if total is None else total))
 
-    # tokens still missing after whole repetitions, and the slices at which they are reached
-    missing = {s.source: s.tokens - int(s.epochs + 1e-9) * s.available for s in plan if s.available}
-
-    def cut(histogram: DataFrame, column: str, goal: dict[str, float]) -> dict[str, tuple[int, float]]:
-        """By source the last slice that stays below the goal, and what is missing then."""
-        out = {s: (-1, g) for s, g in goal.items()}
-        done: set[str] = set()
-        for r in sorted(histogram.collect(), key=lambda r: (r["source"], r[column])):
-            at, left = out[r["source"]]
-            if r["source"] in done or r["n"] > left:
-                done.add(r["source"])
-            else:
-                out[r["source"]] = (r[column], left - r["n"])
-        return out
-
-    # at most ``slices`` rows per source
-    coarse = cut(weighted.groupBy("source", "coarse").agg(F.sum("tokens").alias("n")), "coarse", missing)
-    spark = counted.sparkSession
-    sides = "source string, coarse int, left double"
-    # the slice in which the goal is passed: the first one with documents after the last that fits
-    edge = spark.createDataFrame([(s, c, float(g)) for s, (c, g) in coarse.items()], sides)
-    after = weighted.join(F.broadcast(edge.withColumnRenamed("coarse", "last")), "source").filter("coarse > last")
-    first = after.groupBy("source").agg(F.min("coarse").alias("coarse"))
-    within = weighted.join(F.broadcast(first), ["source", "coarse"])
-    fine = cut(within.groupBy("source", "fine").agg(F.sum("tokens").alias("n")), "fine", {s: g for s, (_, g) in coarse.items()})
-    edges = {r["source"]: r["coarse"] for r in first.collect()}
-    for s in plan:
-        if s.source in coarse:
-            s.limit = (edges.get(s.source, slices), fine[s.source][0])
-
-    table = spark.createDataFrame([(s.source, int(s.epochs + 1e-9), *s.limit) for s in plan if s.tokens > 0], "source string, whole int, edge int, edge_fine int")
-    once_more = (F.col("coarse") < F.col("edge")) | ((F.col("coarse") == F.col("edge")) & (F.col("fine") <= F.col("edge_fine")))
-    out = weighted.join(F.broadcast(table), "source").select("key", "source", "tokens", (F.col("whole") + once_more.cast("int")).alias("repeats"))
+    # whole repetitions, and the tokens still missing after these
+    whole = {s.source: int(s.epochs + 1e-9) for s in plan if s.tokens > 0}
+    table = spark.createDataFrame([(s.source, whole[s.source], max(0.0, s.tokens - whole[s.source] * s.available)) for s in plan if s.tokens > 0], "source string, whole int, left double")
+    goal = F.broadcast(table.select("source", "left"))
+    # at most one row for each source and slice
+    coarse = F.broadcast(_reached(rows.groupBy("source", "coarse").agg(F.sum("tokens").alias("n")).join(goal, "source"), "coarse"))
+    within = rows.join(coarse, "source").filter("coarse = edge_coarse")
+    fine = F.broadcast(_reached(within.groupBy("source", "fine", "left").agg(F.sum("tokens").alias("n")), "fine"))
+    last = within.drop("left").join(fine, "source").filter("fine = edge_fine")
+    # of a slice of a slice, one document after the other
+    total_so = F.sum("tokens").over(Window.partitionBy("source").orderBy(F.xxhash64("key"), "key").rowsBetween(Window.unboundedPreceding, 0))
+    last = last.withColumn("total", total_so).withColumn("over", F.col("total") - F.col("left"))
+    chosen = last.filter((F.col("over") <= 0) | ((F.col("over") < F.col("tokens")) & (2 * F.col("over") < F.col("tokens"))))
+    chosen = chosen.select("source", "key", F.lit(True).alias("chosen"))
+
+    edges = coarse.select("source", "edge_coarse").join(fine.select("source", "edge_fine"), "source", "left")
+    out = rows.join(F.broadcast(table.select("source", "whole")), "source").join(F.broadcast(edges), "source", "left").join(chosen, ["source", "key"], "left")
+    before = (F.col("coarse") < F.col("edge_coarse")) | ((F.col("coarse") == F.col("edge_coarse")) & (F.col("fine") < F.col("edge_fine")))
+    once_more = F.coalesce(before, F.lit(False)) | F.coalesce("chosen", F.lit(False))
+    out = out.select("key", "source", "tokens", (F.col("whole") + once_more.cast("int")).alias("repeats"))
     return out.filter("repeats > 0"), plan
 
 

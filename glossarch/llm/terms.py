@@ -41,7 +41,7 @@ def distinctive_terms(df: DataFrame, key: str, text: str, least: int = 2) -> Dat
         "margins",
     )
     total = posts.agg(F.sum("tf")).first()[0] or 0
-    heavy = F.broadcast(margins.filter(F.length("term") <= HEAVY_LENGTH).orderBy(F.desc("records"), "term").limit(HEAVY_TERMS))
+    heavy = F.broadcast(written(margins.filter(F.length("term") <= HEAVY_LENGTH).orderBy(F.desc("records"), "term").limit(HEAVY_TERMS), "heavy"))
     common = posts.join(heavy, "term")
     rare = posts.join(heavy.select("term"), "term", "left_anti").join(margins, "term")
     expected = F.col("record_tf") * F.col("term_tf") / F.lit(float(total))

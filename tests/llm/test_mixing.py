@@ -47,6 +47,18 @@ def test_fractions_add_to_whole_repeats(spark):
     assert {r["source"]: r["share"] for r in mixing.shares(mixed, plan).collect()}["a"] == pytest.approx(0.25, abs=0.002)
 
 
+def test_one_long_document(spark):
+    """A document of a third of its source: the share reached is off by half of it at most, and by little where it lies elsewhere in the order."""
+    df = spark.createDataFrame([(i, "a", 100) for i in range(200)] + [(900, "a", 10_000)] + [(1000 + i, "b", 100) for i in range(400)], "key bigint, source string, tokens bigint")
+    weights = spark.createDataFrame([("a", 0.3, 3), ("b", 0.7, 3)], WEIGHTS)
+    off = []
+    for seed in range(3):
+        for s in mixing.shares(*mixing.mixture(df, weights, total=50_000, seed=seed)).collect():
+            off.append(abs(s["tokens"] - s["planned_tokens"]))
+            assert off[-1] <= (5_000 if s["source"] == "a" else 50)
+    assert min(off) <= 50
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "key bigint, source string, tokens bigint")
     weights = spark.createDataFrame([("a", 1.0, 2)], WEIGHTS)
