@@ -14,14 +14,34 @@ PARAGRAPH, RULE = "\n\n", "\n\n---\n\n"
 NO_CONTEXT = "(No additional context found.)"
 
 
+#: numbers of passages that are sorted together: no document is sorted as a whole
+BLOCK = 4096
+
+
 def ordered(passages: DataFrame, suffix: Column) -> DataFrame:
-    """Adds ``pos``, the place of a passage in its document, by the number in its id, then the id."""
-    return passages.withColumn("pos", F.row_number().over(Window.partitionBy("doc").orderBy(suffix, "id")))
+    """Adds ``pos``, the place of a passage in its document, by the number in its id, then the id.
+
+    Numbers are cut into blocks of ``BLOCK``; the place is the one in the block after the passages of the blocks before.
+    """
+    rows = passages.withColumn("__n", suffix).withColumn("__b", F.coalesce(F.floor(F.col("__n") / BLOCK), F.lit(-1)))
+    sizes = rows.groupBy("doc", "__b").agg(F.count(F.lit(1)).alias("__size"))
+    before = F.coalesce(F.sum("__size").over(Window.partitionBy("doc").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(F.col("doc").alias("__doc"), F.col("__b").alias("__at"), before.alias("__before"))
+    rows = rows.withColumn("__place", F.row_number().over(Window.partitionBy("doc", "__b").orderBy("__n", "id")))
+    rows = rows.join(sizes, F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("__b") == F.col("__at")))
+    return rows.withColumn("pos", (F.col("__place") + F.col("__before")).cast("int")).select(*passages.columns, "pos")
 
 
 def neighbours(passages: DataFrame, before: int = 1, after: int = 1, text: str = "text") -> DataFrame:
-    """Adds ``before`` and ``after``, arrays of ``(pos, id, text)`` of the passages around, nearest last and first, cut at the edges."""
-    order = Window.partitionBy("doc").orderBy("pos")
+    """Adds ``before`` and ``after``, arrays of ``(pos, id, text)`` of the passages around, nearest last and first, cut at the edges.
+
+    Places are cut into blocks of ``BLOCK``; passages near an edge are in both blocks, so that windows stay within one.
+    """
+    if max(before, after) >= BLOCK:
+        raise ValueError(f"fewer than {BLOCK} neighbours can be asked for")
+    block = F.floor(F.col("pos") / BLOCK)
+    all_of = F.array_distinct(F.array(F.floor((F.col("pos") - after) / BLOCK), block, F.floor((F.col("pos") + before) / BLOCK)))
+    order = Window.partitionBy("doc", "__b").orderBy("pos")
     entry = F.struct("pos", "id", F.col(text).alias("text"))
 
     def span(lo: int, hi: int, n: int) -> Column:
@@ -29,7 +49,8 @@ def neighbours(passages: DataFrame, before: int = 1, after: int = 1, text: str =
         found = F.collect_list(entry).over(order.rowsBetween(lo, hi)) if n else empty
         return F.coalesce(found, F.array().cast("array<struct<pos:int,id:string,text:string>>"))
 
-    return passages.withColumn("before", span(-before, -1, before)).withColumn("after", span(1, after, after))
+    rows = passages.withColumn("__b", F.explode(all_of))
+    return rows.withColumn("before", span(-before, -1, before)).withColumn("after", span(1, after, after)).filter(F.col("__b") == block).drop("__b")
 
 
 def local_candidates(around: DataFrame) -> DataFrame:

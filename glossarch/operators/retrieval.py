@@ -11,10 +11,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glossarch.operators.vectors import unit_matrix
+from glossarch.plans.scratch import written
 
 # Parameters of BM25, and the weights of the two scores.
 K1, B = 1.5, 0.75
@@ -50,12 +52,6 @@ def saturation(tf: Column, length: Column, mean: Column, k1: float = K1, b: floa
     return tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean))
 
 
-def scaled(score: Column, over: Window) -> Column:
-    """Min-max over all candidates of a query; 0 where all are equal."""
-    low, high = F.min(score).over(over), F.max(score).over(over)
-    return F.when(high > low, (score - low) / (high - low)).otherwise(F.lit(0.0))
-
-
 # -- earlier passages of the same document -------------------------------------------------------------------
 
 
@@ -65,108 +61,184 @@ def prefix_df(postings: DataFrame) -> DataFrame:
     return postings.select("doc", "seq", "term", (F.row_number().over(order) - 1).cast("bigint").alias("df"))
 
 
-#: passages of a block of history, and blocks of queries that one task takes of a document
-HISTORY_BLOCK, QUERY_BLOCKS = 256, 8
-
-
-def _score_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Scores of each pair of blocks (queries ``q``, history ``h``): all pairs of passages with the history before the query."""
-    held, postings, lengths, vectors, whole = None, {}, None, {}, {}
-    for batch in batches:
-        for row in range(batch.num_rows):
-            part = batch.slice(row, 1)
-            doc, place = part.column("doc")[0].as_py(), part.column("hb")[0].as_py()
-            if held != (doc, place):
-                held, hist = (doc, place), part.column("h")[0].as_py()
-                postings, lengths = {}, np.array([len(e["tokens"]) for e in hist], float)
-                for j, e in enumerate(hist):
-                    counts: dict[str, int] = {}
-                    for t in e["tokens"]:
-                        counts[t] = counts.get(t, 0) + 1
-                    for t, f in counts.items():
-                        postings.setdefault(t, []).append((j, f))
-                postings = {t: np.array(x, float).T for t, x in postings.items()}
-                seqs = np.array([e["seq"] for e in hist])
-                # usable vectors by size: their places and a matrix
-                whole = {}
-                for j, e in enumerate(hist):
-                    if e["v"] is not None and None not in e["v"]:
-                        whole.setdefault(len(e["v"]), []).append(j)
-                vectors = {n: np.array([hist[j]["v"] for j in at], float) for n, at in whole.items()}
-            out: list[list[np.ndarray]] = [[], [], [], []]
-            for e in part.column("q")[0].as_py():
-                before = np.flatnonzero(seqs < e["seq"])
-                if not len(before):
-                    continue
-                sparse = np.zeros(len(seqs))
-                hits = [(postings[t["term"]], t["df"]) for t in e["terms"] or () if t["term"] in postings]
-                if hits and e["mean"]:
-                    at = np.concatenate([h[0] for h, _ in hits]).astype(int)
-                    tf = np.concatenate([h[1] for h, _ in hits])
-                    df = np.repeat([d for _, d in hits], [h.shape[1] for h, _ in hits])
-                    # terms without an earlier passage meet later ones of the block only; those are not kept
-                    part_of = np.log(1 + (e["n"] - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[at] / e["mean"]))
-                    early = seqs[at] < e["seq"]
-                    sparse = np.bincount(at[early], part_of[early], minlength=len(seqs))
-                out[0].append(np.full(len(before), e["seq"]))
-                out[1].append(seqs[before])
-                dense = np.zeros(len(seqs))
-                if e["v"] is not None and None not in e["v"] and len(e["v"]) in vectors:
-                    dense[whole[len(e["v"])]] = vectors[len(e["v"])] @ np.array(e["v"], float)
-                out[2].append(dense[before])
-                out[3].append(sparse[before])
-            if out[0]:
-                seq, hist_seq, dense, bm25 = map(np.concatenate, out)
-                yield pa.RecordBatch.from_arrays([pa.array([doc] * len(seq), pa.string()), pa.array(seq.astype(np.int64)), pa.array(hist_seq.astype(np.int64)), pa.array(dense), pa.array(bm25)], ["doc", "seq", "hist", "dense", "bm25"])
-
-
-def history_scores(passages: DataFrame, text: str = "text", vector: str | None = None, history_text: str | None = None, history_vector: str | None = None) -> DataFrame:
-    """``doc, seq, hist, dense, bm25`` for every pair of a passage and an earlier one of its document.
-
-    ``passages`` has ``doc, seq``, texts and vectors; (doc, seq) is unique. The BM25 statistics of query ``seq`` are those of the passages before it: their
-    number, mean length and document frequencies are running sums, so nothing is recomputed per query. Passages are
-    gathered in blocks of ``HISTORY_BLOCK``; blocks of one document meet, the queries of a long document spread over several tasks.
+#: passages of a block of queries and of a strip of history (a multiple of it), and blocks of queries that meet a strip in one task
+QUERY_BLOCK, STRIP, BLOCKS = 256, 2048, 64
+
+_SCORED = "doc string, seq bigint, hist bigint, dense double, bm25 double, score double, dense_min double, dense_max double, bm25_min double, bm25_max double"
+_LIMITS = ["dense_min", "dense_max", "bm25_min", "bm25_max"]
+
+
+def _numbered(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Of an array of lists of strings: the list and the number of each string, and the strings by number."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    coded = lists.flatten().dictionary_encode()
+    size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.repeat(np.arange(len(lists)), size), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
+def _places(of: pa.Array, among: pa.Array) -> np.ndarray:
+    """Where each string of ``of`` is in ``among``, -1 where it is not."""
+    return pc.fill_null(pc.index_in(of, value_set=among), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _by_size(vectors: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By size the vectors without nulls: their places and a matrix."""
+    places: dict[int, tuple[list, list]] = {}
+    for i, v in enumerate(vectors.to_pylist()):
+        if v is not None and None not in v:
+            at, rows = places.setdefault(len(v), ([], []))
+            at.append(i)
+            rows.append(v)
+    return {n: (np.array(at), np.array(rows, float)) for n, (at, rows) in places.items()}
+
+
+class _Strip:
+    """A strip of the history of one document."""
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.sort_by("seq").combine_chunks()
+        self.seq = rows["seq"].to_numpy()
+        owner, term, self.terms = _numbered(rows["tokens"])
+        self.lengths = np.bincount(owner, minlength=len(self.seq)).astype(float)
+        key, self.tf = np.unique(term * len(self.seq) + owner, return_counts=True)  # by term, then by passage
+        self.passage = key % max(len(self.seq), 1)
+        self.first = np.searchsorted(key, np.arange(len(self.terms) + 1) * len(self.seq))
+        self.vectors = _by_size(rows["v"])
+
+
+def _pair_scores(strip: _Strip, block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The passages of a block of queries in order, and for each (rows) and each of the strip (columns): whether it is earlier, dense score, BM25.
+
+    Statistics of a passage's history are those before its block, which the block brings along, and those of the earlier passages of the block.
     """
-    shown = history_text or text
-    none = F.lit(None).cast("array<double>")
-    v, hv = (F.col(c).cast("array<double>") if c else none for c in (vector, history_vector or vector))
-    empty = F.lit("")
-    before = Window.partitionBy("doc").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    rows = passages.select("doc", F.col("seq").cast("bigint").alias("seq"), tokens(F.coalesce(F.col(text), empty)).alias("asked"), tokens(F.coalesce(F.col(shown), empty)).alias("tokens"), v.alias("v"), hv.alias("hv"))
-    rows = rows.withColumn("n", F.count("seq").over(before)).withColumn("mean", F.avg(F.size("tokens")).over(before))
-    rows = rows.withColumn("block", F.floor(F.col("n") / HISTORY_BLOCK).cast("int"))
-    # earlier passages that hold a term: a running count over the occurrences in history
-    asked = rows.select("doc", "seq", F.explode(F.array_distinct("asked")).alias("term"), F.lit(0).alias("held"))
-    held = rows.select("doc", "seq", F.explode(F.array_distinct("tokens")).alias("term"), F.lit(1).alias("held"))
-    running = Window.partitionBy("doc", "term").orderBy("seq", "held").rowsBetween(Window.unboundedPreceding, 0)
-    known = asked.unionByName(held).withColumn("df", F.sum("held").over(running)).filter("held = 0 and df > 0")
-    terms = known.groupBy("doc", "seq").agg(F.collect_list(F.struct("term", "df")).alias("terms"))
-    spread = F.floor(F.max("block").over(Window.partitionBy("doc")) / QUERY_BLOCKS).cast("int") + 1
-    sized = rows.withColumn("spread", spread)
-    queries = sized.join(terms, ["doc", "seq"], "left").groupBy("doc", "block", "spread").agg(F.collect_list(F.struct("seq", "n", "mean", "v", "terms")).alias("q"))
-    queries = queries.select("doc", (F.col("block") % F.col("spread")).alias("salt"), F.col("block").alias("qb"), "q")
-    history = sized.groupBy("doc", "block", "spread").agg(F.collect_list(F.struct("seq", "tokens", F.col("hv").alias("v"))).alias("h"))
-    history = history.select("doc", F.explode(F.sequence(F.lit(0), F.col("spread") - 1)).alias("salt"), F.col("block").alias("hb"), "h")
-    # blocks are few and heavy: adaptive execution, which goes by bytes, must not put them in one task
-    tasks = int(passages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    history, queries = (side.repartition(tasks, "doc", "salt") for side in (history, queries))
-    met = history.join(queries, ["doc", "salt"]).filter("hb <= qb").select("doc", "hb", "h", "q")
-    return met.mapInArrow(_score_blocks, "doc string, seq bigint, hist bigint, dense double, bm25 double")
-
-
-def bm25_history(passages: DataFrame, text: str = "text", history_text: str | None = None) -> DataFrame:
-    """``doc, seq, hist, bm25`` for pairs with ``hist < seq`` that share a term."""
-    return history_scores(passages, text, None, history_text).filter("bm25 > 0").select("doc", "seq", "hist", "bm25")
-
-
-def hybrid_history(passages: DataFrame, text: str = "text", vector: str = "emb", history_text: str | None = None, history_vector: str | None = None, dense: float = DENSE, sparse: float = SPARSE) -> DataFrame:
-    """``doc, seq, hist, dense, bm25, score`` for every pair of a passage and an earlier one of its document.
-
-    Vectors are compared as they are (cosine only if normalised); a pair without comparable vectors has dense score 0.
+    q = pa.Table.from_batches([pa.RecordBatch.from_struct_array(block["q"])]).sort_by("seq").combine_chunks()
+    seq = q["seq"].to_numpy()
+    owner, held, terms = _numbered(q["tokens"])
+    asker, asked, asked_terms = _numbered(q["asked"])
+    size = np.bincount(owner, minlength=len(seq))
+    n = block["n"] + np.arange(len(seq))
+    mean = (block["length"] + np.cumsum(size) - size) / np.maximum(n, 1)
+    # earlier passages that hold the term
+    each = np.unique(held * len(seq) + owner)
+    here = _places(asked_terms, terms)[asked]
+    within = np.searchsorted(each, here * len(seq) + asker) - np.searchsorted(each, here * len(seq))
+    known = _places(asked_terms, block["terms"].field("term"))
+    before = np.append(block["terms"].field("df").to_numpy(zero_copy_only=False), 0)[known]
+    df = before[asked] + np.where(here >= 0, within, 0)
+    # the postings of each term that a query asks for
+    at = _places(asked_terms, strip.terms)[asked]
+    use = (at >= 0) & (mean[asker] > 0)
+    at, asker, df = at[use], asker[use], df[use]
+    count = strip.first[at + 1] - strip.first[at]
+    entry = np.repeat(strip.first[at] - np.cumsum(count) + count, count) + np.arange(count.sum())
+    who, tf, passage = np.repeat(asker, count), strip.tf[entry], strip.passage[entry]
+    df, total = np.repeat(df, count), n[who]
+    part = np.log(1 + np.maximum(total - df + 0.5, 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * strip.lengths[passage] / mean[who]))
+    shape = len(seq), len(strip.seq)
+    sparse = np.bincount(who * shape[1] + passage, part, minlength=shape[0] * shape[1]).reshape(shape)
+    dense = np.zeros(shape)
+    for k, (places, m) in _by_size(q["v"]).items():
+        if k in strip.vectors:
+            dense[np.ix_(places, strip.vectors[k][0])] = m @ strip.vectors[k][1].T
+    return seq, strip.seq[None, :] < seq[:, None], dense, sparse
+
+
+def history_topk(passages: DataFrame, k: int, text: str = "text", vector: str | None = "emb", history_text: str | None = None, history_vector: str | None = None, dense: float = DENSE, sparse: float = SPARSE, scale: bool = True, gap: int = 0) -> DataFrame:
+    """``doc, seq, hist, dense, bm25, score, place``: for each passage the ``k`` best of the earlier ones of its document.
+
+    ``passages`` has ``doc, seq``, texts and vectors; (doc, seq) is unique. ``score`` is the weighted sum of both scores, each scaled over all earlier passages of the
+    document (unscaled if not ``scale``); of equal scores (to 9 digits) the earlier passage. Only candidates more than ``gap`` before the passage are chosen. Vectors are compared as they are
+    (cosine only if normalised); a pair without comparable vectors has dense score 0, a passage without earlier ones has no row.
+
+    Queries come in blocks, history in strips of a document; a task scores the blocks that meet one strip as matrices, and no pair leaves it. Where the whole history of a
+    block is one strip, its best are known at once; for longer documents strips first give the limits of the scores, then the best by these. Nothing is sorted
+    or gathered by document: numbers, lengths and term frequencies of the history before a block are running sums over blocks.
     """
-    pairs = history_scores(passages, text, vector, history_text, history_vector)
-    over = Window.partitionBy("doc", "seq")
-    return pairs.withColumn("score", dense * scaled(F.col("dense"), over) + sparse * scaled(F.col("bm25"), over))
+    empty, none = F.lit(""), F.lit(None).cast("array<double>")
+    v, hv = (F.col(c).cast("array<double>") if c else none for c in (vector, history_vector or vector))
+    rows = passages.select(
+        F.col("doc").cast("string").alias("doc"), F.col("seq").cast("bigint").alias("seq"),
+        F.array_distinct(tokens(F.coalesce(F.col(text), empty))).alias("asked"), tokens(F.coalesce(F.col(history_text or text), empty)).alias("tokens"), v.alias("v"), hv.alias("hv"),
+    )
+    # no document is apart from the others, so a null name is as good as any
+    rows = rows.withColumn("block", F.floor(F.col("seq") / QUERY_BLOCK)).withColumn("doc", F.coalesce("doc", F.lit("")))
+    rows = written(rows.withColumn("strip", F.floor(F.col("block") * QUERY_BLOCK / STRIP)), "history")
+    sums = rows.groupBy("doc", "block", "strip").agg(F.count("seq").alias("n"), F.sum(F.size("tokens")).alias("length"))
+    by_block = Window.partitionBy("doc").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumns({c: F.coalesce(F.sum(c).over(by_block), F.lit(0)) for c in ("n", "length")})
+    # passages of earlier blocks that hold a term
+    held = rows.select("doc", "block", F.explode(F.array_distinct("tokens")).alias("term"), F.lit(1).alias("held"), F.lit(0).alias("asked"))
+    asked = rows.select("doc", "block", F.explode("asked").alias("term"), F.lit(0).alias("held"), F.lit(1).alias("asked"))
+    by_term = Window.partitionBy("doc", "term").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    known = held.unionByName(asked).groupBy("doc", "block", "term").agg(F.sum("held").alias("held"), F.max("asked").alias("asked"))
+    known = known.withColumn("df", F.sum("held").over(by_term)).filter("asked = 1 and df > 0")
+    terms = known.groupBy("doc", "block").agg(F.collect_list(F.struct("term", "df")).alias("terms"))
+    blocks = rows.groupBy("doc", "block").agg(F.collect_list(F.struct("seq", "asked", "tokens", "v")).alias("q"))
+    blocks = blocks.join(sums, ["doc", "block"]).join(terms, ["doc", "block"], "left")
+    salts = sums.groupBy("doc").agg((F.floor(F.max("block") / BLOCKS) + 1).alias("salts"))
+    history = rows.select("doc", "strip", "seq", "tokens", F.col("hv").alias("v")).join(salts, "doc")
+    history = history.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)))
+    history = history.select(F.col("doc").alias("of"), F.col("strip").alias("part"), F.col("salt").alias("copy"), F.col("seq").alias("seq"), F.col("tokens").alias("tokens"), F.col("v").alias("v"))
+    blocks = blocks.join(salts, "doc").select("doc", "block", "n", "length", "q", "terms", (F.col("block") % F.col("salts")).alias("salt"), F.col("strip").alias("last"))
+    weights = dense, sparse
+
+    def best(doc: str, seq: np.ndarray, hist: np.ndarray, early: np.ndarray, d: np.ndarray, s: np.ndarray, limits: np.ndarray | None) -> list[pa.Array]:
+        span = np.where(limits[1::2] > limits[::2], limits[1::2] - limits[::2], np.inf) if limits is not None else None
+        x, y = (d, s) if limits is None else ((d - limits[0][:, None]) / span[0][:, None], (s - limits[2][:, None]) / span[1][:, None])
+        exact = weights[0] * x + weights[1] * y
+        score = np.round(exact, 9)
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for i in range(len(seq)):
+            at = np.flatnonzero(early[i] & (hist < seq[i] - gap))
+            if len(at) > k:
+                at = at[score[i, at] >= np.partition(score[i, at], len(at) - k)[len(at) - k]]
+            at = at[np.lexsort((at, -score[i, at]))][:k]
+            out.append((np.full(len(at), i), at))
+        i, j = (np.concatenate(c).astype(np.int64) for c in zip(*out))
+        none = pa.nulls(len(i), pa.float64())
+        return [pa.array([doc] * len(i), pa.string()), pa.array(seq[i]), pa.array(hist[j]), pa.array(d[i, j]), pa.array(s[i, j]), pa.array(exact[i, j]), none, none, none, none]
+
+    def met(strips: pa.Table, asked: pa.Table) -> pa.Table:
+        names = [c.split()[0] for c in _SCORED.split(", ")]
+        out = [pa.RecordBatch.from_arrays([pa.array([], f) for f in (pa.string(), pa.int64(), pa.int64(), *[pa.float64()] * 7)], names)]
+        if not strips.num_rows or not asked.num_rows or k <= 0:
+            return pa.Table.from_batches(out)
+        strip = _Strip(strips)
+        doc = strips["of"][0].as_py()
+        no_terms = pa.array([], pa.struct([("term", pa.string()), ("df", pa.int64())]))
+        for row in range(asked.num_rows):
+            get = {c: asked[c][row] for c in asked.column_names}
+            block = {"q": get["q"].values, "n": get["n"].as_py(), "length": get["length"].as_py(), "terms": get["terms"].values if get["terms"].is_valid else no_terms}
+            seq, early, d, s = _pair_scores(strip, block)
+            some = np.flatnonzero(early.any(1))
+            seq, early, d, s = seq[some], early[some], d[some], s[some]
+            if not len(some):
+                continue
+            limits = None
+            if scale and "limits" in get:
+                given = get["limits"].values
+                order = np.searchsorted(given.field("seq").to_numpy(), seq)
+                limits = np.stack([given.field(c).to_numpy()[order] for c in _LIMITS])
+            elif scale:
+                limits = np.stack([f(np.where(early, x, e), axis=1) for x in (d, s) for f, e in ((np.min, np.inf), (np.max, -np.inf))])
+                if get["last"].as_py() > 0:  # there are more strips
+                    none, number = pa.nulls(len(seq), pa.float64()), pa.nulls(len(seq), pa.int64())
+                    out.append(pa.RecordBatch.from_arrays([pa.array([doc] * len(seq), pa.string()), pa.array(seq), number, none, none, none, *map(pa.array, limits)], names))
+                    continue
+            out.append(pa.RecordBatch.from_arrays(best(doc, seq, strip.seq, early, d, s, limits), names))
+        return pa.Table.from_batches(out)
+
+    def scored(queries: DataFrame) -> DataFrame:
+        spread = queries.withColumn("strip", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last"))))
+        return history.groupBy("of", "part", "copy").cogroup(spread.groupBy("doc", "strip", "salt")).applyInArrow(met, _SCORED)
+
+    found = scored(blocks)
+    if scale:
+        found = written(found, "scored")
+        limits = found.filter("hist is null").groupBy("doc", "seq").agg(*((F.min if c.endswith("min") else F.max)(c).alias(c) for c in _LIMITS))
+        limits = limits.groupBy("doc", F.floor(F.col("seq") / QUERY_BLOCK).alias("block")).agg(F.array_sort(F.collect_list(F.struct("seq", *_LIMITS))).alias("limits"))
+        found = found.filter("hist is not null").unionByName(scored(blocks.filter("last > 0").join(limits, ["doc", "block"])))
+    return topk(found.select("doc", "seq", "hist", "dense", "bm25", "score"), ["doc", "seq"], "score", "hist", k)
 
 
 def topk(scored: DataFrame, query: list[str], score: str, order: str, k: int) -> DataFrame:

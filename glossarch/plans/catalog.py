@@ -212,13 +212,14 @@ def prefix_df(spark, d):
 )
 def bm25_history(spark, d):
     rows = _passages(spark, d).withColumn("seq", F.col("pos"))
-    best = retrieval.topk(retrieval.bm25_history(rows), ["doc", "seq"], "bm25", "hist", 10)
+    best = retrieval.history_topk(rows, 10, vector=None, dense=0.0, sparse=1.0, scale=False).filter("bm25 > 0")
     return best.select("doc", F.col("seq").cast("int").alias("pos"), F.col("hist").cast("int").alias("hist"), F.round("bm25", 6).alias("bm25"), "place")
 
 
 def _history(spark, d):
     rows = _passages(spark, d).withColumn("seq", F.col("pos"))
-    best = retrieval.topk(retrieval.hybrid_history(rows), ["doc", "seq"], "score", "hist", 2)
+    rows = written(rows, "passages")
+    best = retrieval.history_topk(rows, 2)
     return rows, best.withColumns({c: F.col(c).cast("int") for c in ("seq", "hist")})
 
 
@@ -270,7 +271,7 @@ def hybrid_system_topk(spark, d):
 
 def _union(spark, d):
     rows, best = _history(spark, d)
-    rows = written(rows.drop("seq"), "passages")
+    rows, best = rows.drop("seq"), written(best, "best")
     local = context.local_candidates(context.neighbours(rows))
     kept = best.filter("seq - hist > 1")
     ids = rows.select("doc", F.col("pos").alias("seq"), F.col("id").alias("query"))

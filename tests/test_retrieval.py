@@ -32,15 +32,14 @@ def passages(spark):
 
 
 def test_bm25_history(passages):
-    got = {(r["seq"], r["hist"]): r["bm25"] for r in retrieval.bm25_history(passages).filter("doc = 'd'").collect()}
+    got = {(r["seq"], r["hist"]): r["bm25"] for r in retrieval.history_topk(passages, 9, vector=None, dense=0.0, sparse=1.0, scale=False).filter("doc = 'd'").collect()}
     for i, t in enumerate(TEXTS):
         for j, s in enumerate(bm25(t, TEXTS[:i])):
             assert got.get((i + 1, j + 1), 0.0) == pytest.approx(s)
 
 
 def test_hybrid_matches_sequential_memory(passages):
-    scored = retrieval.hybrid_history(passages)
-    best = retrieval.topk(scored, ["doc", "seq"], "score", "hist", 2)
+    best = retrieval.history_topk(passages, 2)
     got = {}
     for r in best.filter("doc = 'd'").orderBy("seq", "place").collect():
         got.setdefault(r["seq"], []).append(r["hist"] - 1)
@@ -48,7 +47,28 @@ def test_hybrid_matches_sequential_memory(passages):
     for i, t in enumerate(TEXTS):
         assert got.get(i + 1, []) == memory.best(t or "", 2, 0.6, 0.4)
         memory.add(str(i), i, t or "")
-    assert scored.filter("doc = 'e'").count() == 0
+    assert best.filter("doc = 'e'").count() == 0
+
+
+@pytest.mark.parametrize("block, strip, salt", [(256, 2048, 64), (4, 8, 2)])
+def test_blocks_and_strips_match_sequential_memory(spark, monkeypatch, block, strip, salt):
+    """A long document in small blocks, strips and salts beside short ones; texts and vectors missing."""
+    for name, value in (("QUERY_BLOCK", block), ("STRIP", strip), ("BLOCKS", salt)):
+        monkeypatch.setattr(retrieval, name, value)
+    rng = np.random.default_rng(1)
+    words = ["tax", "rate", "bond", "rule", "the", "of", "x1", "law"]
+    rows = [(d, i, None if i % 17 == 5 else " ".join(rng.choice(words, rng.integers(0, 9)))) for d, n in (("long", 70), ("a", 9), ("b", 1)) for i in range(n)]
+    df = spark.createDataFrame([(d, i, t, hashed_vector(t or "").tolist()) for d, i, t in rows], "doc string, seq int, text string, emb array<float>")
+    for k, gap in ((2, 0), (3, 2)):
+        got = {}
+        for r in retrieval.history_topk(df, k, gap=gap).orderBy("doc", "seq", "place").collect():
+            got.setdefault((r["doc"], r["seq"]), []).append(r["hist"])
+        for d in ("long", "a", "b"):
+            memory = Memory(hashed_vector)
+            for _, i, t in (r for r in rows if r[0] == d):
+                want = [j for j in memory.best(t or "", i, 0.6, 0.4) if i - j > gap][:k]
+                assert got.get((d, i), []) == want, (d, i)
+                memory.add(str(i), i, t or "")
 
 
 def test_prefix_df(passages):
