@@ -6,7 +6,6 @@ Two candidate sets: the earlier passages of the same document (a self join on th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from glossarch.operators.vectors import unit_matrix
+from glossarch.operators.vectors import l2_normalise
 from glossarch.plans.scratch import written
 
 # Parameters of BM25, and the weights of the two scores.
@@ -62,7 +61,7 @@ def prefix_df(postings: DataFrame) -> DataFrame:
 
 
 #: passages of a block of queries and of a strip of history (a multiple of it), and blocks of queries that meet a strip in one task
-QUERY_BLOCK, STRIP, BLOCKS = 256, 2048, 64
+QUERY_BLOCK, STRIP, BLOCKS = 256, 2048, 16
 
 _SCORED = "doc string, seq bigint, hist bigint, dense double, bm25 double, score double, dense_min double, dense_max double, bm25_min double, bm25_max double"
 _LIMITS = ["dense_min", "dense_max", "bm25_min", "bm25_max"]
@@ -83,34 +82,96 @@ def _places(of: pa.Array, among: pa.Array) -> np.ndarray:
 
 def _by_size(vectors: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """By size the vectors without nulls: their places and a matrix."""
-    places: dict[int, tuple[list, list]] = {}
-    for i, v in enumerate(vectors.to_pylist()):
-        if v is not None and None not in v:
-            at, rows = places.setdefault(len(v), ([], []))
-            at.append(i)
-            rows.append(v)
-    return {n: (np.array(at), np.array(rows, float)) for n, (at, rows) in places.items()}
+    vectors = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    size = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat, start = vectors.flatten(), np.cumsum(size) - size
+    holes = np.add.reduceat(np.append(flat.is_null().to_numpy(zero_copy_only=False), 0), start) * (size > 0) if flat.null_count else np.zeros(len(size))
+    numbers = flat.to_numpy(zero_copy_only=False).astype(float)
+    usable = (size > 0) & (holes == 0)
+    return {int(n): (at, numbers[start[at][:, None] + np.arange(n)]) for n in np.unique(size[usable]) if len(at := np.flatnonzero(usable & (size == n)))}
 
 
 class _Strip:
-    """A strip of the history of one document."""
+    """Candidates that one task holds: a strip of the history of a document, or of a corpus. Rows have ``tokens, v`` and are in the order of ties."""
 
     def __init__(self, rows: pa.Table):
-        rows = rows.sort_by("seq").combine_chunks()
-        self.seq = rows["seq"].to_numpy()
+        self.size = rows.num_rows
         owner, term, self.terms = _numbered(rows["tokens"])
-        self.lengths = np.bincount(owner, minlength=len(self.seq)).astype(float)
-        key, self.tf = np.unique(term * len(self.seq) + owner, return_counts=True)  # by term, then by passage
-        self.passage = key % max(len(self.seq), 1)
-        self.first = np.searchsorted(key, np.arange(len(self.terms) + 1) * len(self.seq))
+        self.lengths = np.bincount(owner, minlength=self.size).astype(float)
+        key, self.tf = np.unique(term * self.size + owner, return_counts=True)  # by term, then by passage
+        self.passage, self.tf = key % max(self.size, 1), self.tf.astype(float)
+        self.first = np.searchsorted(key, np.arange(len(self.terms) + 1) * self.size)
         self.vectors = _by_size(rows["v"])
 
+    def norm(self, mean: float) -> np.ndarray:
+        """What the length of each candidate adds to the frequency of a term."""
+        return K1 * (1 - B) + self.lengths * (K1 * B / mean)
 
-def _pair_scores(strip: _Strip, block: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The passages of a block of queries in order, and for each (rows) and each of the strip (columns): whether it is earlier, dense score, BM25.
 
-    Statistics of a passage's history are those before its block, which the block brings along, and those of the earlier passages of the block.
-    """
+@dataclass
+class _Queries:
+    """A block of queries: number and mean length of each one's candidates, its vector, and who asks for which term with what document frequency."""
+
+    n: np.ndarray
+    mean: np.ndarray
+    v: pa.Array
+    asker: np.ndarray
+    asked: np.ndarray
+    terms: pa.Array
+    df: np.ndarray
+
+
+def _scores(strip: _Strip, q: _Queries) -> tuple[np.ndarray, np.ndarray]:
+    """Dense score and BM25 of each query (rows) and candidate (columns)."""
+    # the postings of each term that a query asks for
+    at = _places(q.terms, strip.terms)[q.asked] if len(q.asked) else q.asked
+    use = (at >= 0) & (q.mean[q.asker] > 0)
+    at, asker, df = at[use], q.asker[use], q.df[use]
+    weight = np.log(1 + np.maximum(q.n[asker] - df + 0.5, 0.5) / (df + 0.5)) * (K1 + 1)
+    shape = len(q.n), strip.size
+    sparse = np.zeros(shape)
+    first, count = strip.first[at], strip.first[at + 1] - strip.first[at]
+    ends = np.searchsorted(asker, np.arange(shape[0] + 1))
+    for i in range(shape[0]):  # one query after the other: its postings fit in the cache
+        lo, hi = ends[i], ends[i + 1]
+        if lo == hi:
+            continue
+        n = count[lo:hi]
+        entry = np.repeat(first[lo:hi] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        passage, tf = strip.passage[entry], strip.tf[entry]
+        part = np.repeat(weight[lo:hi], n) * tf / (tf + strip.norm(q.mean[i])[passage])
+        sparse[i] = np.bincount(passage, part, minlength=shape[1])
+    dense = np.zeros(shape)
+    for k, (places, m) in _by_size(q.v).items():
+        if k in strip.vectors:
+            dense[np.ix_(places, strip.vectors[k][0])] = m @ strip.vectors[k][1].T
+    return dense, sparse
+
+
+def _weighted(d: np.ndarray, s: np.ndarray, weights: tuple[float, float], limits: np.ndarray | None) -> np.ndarray:
+    """The weighted sum of both scores, scaled by the limits of each query (in the order of ``_LIMITS``) where given; 0 where all are equal."""
+    if limits is not None:
+        span = np.where(limits[1::2] > limits[::2], limits[1::2] - limits[::2], np.inf)
+        d, s = (d - limits[0][:, None]) / span[0][:, None], (s - limits[2][:, None]) / span[1][:, None]
+    return weights[0] * d + weights[1] * s
+
+
+def _best(exact: np.ndarray, among: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Query and candidate of the k best of each query's candidates ``among``; equal scores (to 9 digits) keep the order of the candidates."""
+    score, out = np.round(exact, 9), [(np.empty(0, np.int64),) * 2]
+    for i in range(len(score)):
+        at = np.flatnonzero(among[i])
+        if len(at) > k:
+            at = at[score[i, at] >= np.partition(score[i, at], len(at) - k)[len(at) - k]]
+        at = at[np.lexsort((at, -score[i, at]))][:k]
+        out.append((np.full(len(at), i), at))
+    i, j = (np.concatenate(c).astype(np.int64) for c in zip(*out))
+    return i, j
+
+
+def _history_queries(block: dict) -> tuple[np.ndarray, _Queries]:
+    """The passages of a block in order. Statistics of a passage's history are those before its block, which the block brings along, and those of
+    the earlier passages of the block."""
     q = pa.Table.from_batches([pa.RecordBatch.from_struct_array(block["q"])]).sort_by("seq").combine_chunks()
     seq = q["seq"].to_numpy()
     owner, held, terms = _numbered(q["tokens"])
@@ -125,22 +186,7 @@ def _pair_scores(strip: _Strip, block: dict) -> tuple[np.ndarray, np.ndarray, np
     known = _places(asked_terms, block["terms"].field("term"))
     before = np.append(block["terms"].field("df").to_numpy(zero_copy_only=False), 0)[known]
     df = before[asked] + np.where(here >= 0, within, 0)
-    # the postings of each term that a query asks for
-    at = _places(asked_terms, strip.terms)[asked]
-    use = (at >= 0) & (mean[asker] > 0)
-    at, asker, df = at[use], asker[use], df[use]
-    count = strip.first[at + 1] - strip.first[at]
-    entry = np.repeat(strip.first[at] - np.cumsum(count) + count, count) + np.arange(count.sum())
-    who, tf, passage = np.repeat(asker, count), strip.tf[entry], strip.passage[entry]
-    df, total = np.repeat(df, count), n[who]
-    part = np.log(1 + np.maximum(total - df + 0.5, 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * strip.lengths[passage] / mean[who]))
-    shape = len(seq), len(strip.seq)
-    sparse = np.bincount(who * shape[1] + passage, part, minlength=shape[0] * shape[1]).reshape(shape)
-    dense = np.zeros(shape)
-    for k, (places, m) in _by_size(q["v"]).items():
-        if k in strip.vectors:
-            dense[np.ix_(places, strip.vectors[k][0])] = m @ strip.vectors[k][1].T
-    return seq, strip.seq[None, :] < seq[:, None], dense, sparse
+    return seq, _Queries(n, mean, q["v"], asker, asked, asked_terms, df)
 
 
 def history_topk(passages: DataFrame, k: int, text: str = "text", vector: str | None = "emb", history_text: str | None = None, history_vector: str | None = None, dense: float = DENSE, sparse: float = SPARSE, scale: bool = True, gap: int = 0) -> DataFrame:
@@ -182,38 +228,24 @@ def history_topk(passages: DataFrame, k: int, text: str = "text", vector: str |
     blocks = blocks.join(salts, "doc").select("doc", "block", "n", "length", "q", "terms", (F.col("block") % F.col("salts")).alias("salt"), F.col("strip").alias("last"))
     weights = dense, sparse
 
-    def best(doc: str, seq: np.ndarray, hist: np.ndarray, early: np.ndarray, d: np.ndarray, s: np.ndarray, limits: np.ndarray | None) -> list[pa.Array]:
-        span = np.where(limits[1::2] > limits[::2], limits[1::2] - limits[::2], np.inf) if limits is not None else None
-        x, y = (d, s) if limits is None else ((d - limits[0][:, None]) / span[0][:, None], (s - limits[2][:, None]) / span[1][:, None])
-        exact = weights[0] * x + weights[1] * y
-        score = np.round(exact, 9)
-        out: list[tuple[np.ndarray, np.ndarray]] = []
-        for i in range(len(seq)):
-            at = np.flatnonzero(early[i] & (hist < seq[i] - gap))
-            if len(at) > k:
-                at = at[score[i, at] >= np.partition(score[i, at], len(at) - k)[len(at) - k]]
-            at = at[np.lexsort((at, -score[i, at]))][:k]
-            out.append((np.full(len(at), i), at))
-        i, j = (np.concatenate(c).astype(np.int64) for c in zip(*out))
-        none = pa.nulls(len(i), pa.float64())
-        return [pa.array([doc] * len(i), pa.string()), pa.array(seq[i]), pa.array(hist[j]), pa.array(d[i, j]), pa.array(s[i, j]), pa.array(exact[i, j]), none, none, none, none]
-
     def met(strips: pa.Table, asked: pa.Table) -> pa.Table:
         names = [c.split()[0] for c in _SCORED.split(", ")]
         out = [pa.RecordBatch.from_arrays([pa.array([], f) for f in (pa.string(), pa.int64(), pa.int64(), *[pa.float64()] * 7)], names)]
         if not strips.num_rows or not asked.num_rows or k <= 0:
             return pa.Table.from_batches(out)
-        strip = _Strip(strips)
-        doc = strips["of"][0].as_py()
+        strips = strips.sort_by("seq").combine_chunks()
+        strip, hist, doc = _Strip(strips), strips["seq"].to_numpy(), strips["of"][0].as_py()
         no_terms = pa.array([], pa.struct([("term", pa.string()), ("df", pa.int64())]))
         for row in range(asked.num_rows):
             get = {c: asked[c][row] for c in asked.column_names}
             block = {"q": get["q"].values, "n": get["n"].as_py(), "length": get["length"].as_py(), "terms": get["terms"].values if get["terms"].is_valid else no_terms}
-            seq, early, d, s = _pair_scores(strip, block)
+            seq, queries = _history_queries(block)
+            early = hist[None, :] < seq[:, None]
             some = np.flatnonzero(early.any(1))
-            seq, early, d, s = seq[some], early[some], d[some], s[some]
             if not len(some):
                 continue
+            d, s = (x[some] for x in _scores(strip, queries))
+            seq, early = seq[some], early[some]
             limits = None
             if scale and "limits" in get:
                 given = get["limits"].values
@@ -225,7 +257,11 @@ def history_topk(passages: DataFrame, k: int, text: str = "text", vector: str |
                     none, number = pa.nulls(len(seq), pa.float64()), pa.nulls(len(seq), pa.int64())
                     out.append(pa.RecordBatch.from_arrays([pa.array([doc] * len(seq), pa.string()), pa.array(seq), number, none, none, none, *map(pa.array, limits)], names))
                     continue
-            out.append(pa.RecordBatch.from_arrays(best(doc, seq, strip.seq, early, d, s, limits), names))
+            exact = _weighted(d, s, weights, limits)
+            i, j = _best(exact, early & (hist[None, :] < seq[:, None] - gap), k)
+            none = pa.nulls(len(i), pa.float64())
+            columns = [pa.array([doc] * len(i), pa.string()), pa.array(seq[i]), pa.array(hist[j]), *(pa.array(x[i, j]) for x in (d, s, exact))]
+            out.append(pa.RecordBatch.from_arrays(columns + [none] * 4, names))
         return pa.Table.from_batches(out)
 
     def scored(queries: DataFrame) -> DataFrame:
@@ -255,130 +291,87 @@ def without_local(best: DataFrame, before: int = 1) -> DataFrame:
 # -- an external corpus ------------------------------------------------------------------------------------------------
 
 
-@dataclass
-class _Block:
-    """A bounded set of queries as every task sees it."""
-
-    keys: list
-    vectors: np.ndarray
-    #: by term: the queries that hold it, and its inverse document frequency
-    terms: dict[str, tuple[np.ndarray, float]]
-    mean: float
-    limits: np.ndarray | None = None
-
-
-def _scores(block: _Block, batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Dense and BM25 scores of all queries of the block (rows) against the entries of the batch (columns)."""
-    m, _ = unit_matrix(batch.column("vector"), size)
-    dense = block.vectors @ m.T
-    sparse = np.zeros_like(dense)
-    for j, entry in enumerate(batch.column("tokens").to_pylist()):
-        counts: dict[str, int] = {}
-        for t in entry or ():
-            counts[t] = counts.get(t, 0) + 1
-        length = K1 * (1 - B + B * len(entry or ()) / block.mean) if block.mean else K1
-        for t, f in counts.items():
-            if (hit := block.terms.get(t)) is not None:
-                sparse[hit[0], j] += hit[1] * f * (K1 + 1) / (f + length)
-    return dense, sparse
-
-
 class SystemSearch:
-    """Scores of a query set against a whole corpus. Neither pairs nor the corpus are moved; blocks of queries go to the corpus.
+    """Scores of a query set against a whole corpus, in blocks of queries and strips of the corpus that meet in groups; no pair leaves a task.
 
-    ``corpus`` has ``id, text, vector``, ``queries`` the same. All rows of the corpus are candidates of every query, none is
+    ``corpus`` has ``id, text, vector``, ``queries`` the same (ids unique). All rows of the corpus are candidates of every query, none is
     left out, repeated ids are candidates each. Vectors are normalised; unusable ones score 0.
     """
 
-    def __init__(self, corpus: DataFrame, queries: DataFrame, size: int = 64, block: int = 512):
-        self.size = size
-        text = F.coalesce(F.col("text"), F.lit(""))
-        self.corpus = corpus.select("id", F.col("vector").cast("array<double>").alias("vector"), tokens(text).alias("tokens"))
+    def __init__(self, corpus: DataFrame, queries: DataFrame, size: int = 64, block: int = QUERY_BLOCK, strip: int = STRIP):
+        text, v = F.coalesce(F.col("text"), F.lit("")), F.col("vector").cast("array<double>")
+        unit = F.when(F.size(v) == size, l2_normalise(v)).alias("v")
+        rows = corpus.select("id", unit, tokens(text).alias("tokens"), F.rand(7).alias("r"))
+        self.corpus = written(rows, "corpus")
         stats = self.corpus.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("tokens")).alias("mean")).first()
         self.n, self.mean = stats["n"], stats["mean"] or 0.0
-        asked = queries.select("id", F.col("vector").cast("array<double>").alias("vector"), F.array_distinct(tokens(text)).alias("terms"))
+        asked = queries.select("id", unit, F.array_distinct(tokens(text)).alias("terms"))
         # frequencies of the terms that are asked for, beside each query
         df = self.corpus.select(F.explode(F.array_distinct("tokens")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         known = asked.select("id", F.explode("terms").alias("term")).join(df, "term").groupBy("id").agg(F.collect_list(F.struct("term", "df")).alias("known"))
-        self.asked, self.block = asked.select("id", "vector").join(known, "id", "left"), block
-
-    def _blocks(self) -> Iterator[_Block]:
-        rows: list = []
-        for row in self.asked.toLocalIterator(prefetchPartitions=True):
-            rows.append(row)
-            if len(rows) == self.block:
-                yield self._made(rows)
-                rows = []
-        if rows:
-            yield self._made(rows)
-
-    def _made(self, rows: list) -> _Block:
-        terms: dict[str, tuple[list[int], int]] = {}
-        for i, r in enumerate(rows):
-            for t in r["known"] or ():
-                terms.setdefault(t["term"], ([], t["df"]))[0].append(i)
-        m, _ = unit_matrix(pa.array([r["vector"] for r in rows], pa.list_(pa.float64())), self.size)
-        return _Block([r["id"] for r in rows], m, {t: (np.array(q), float(np.log(1 + (self.n - df + 0.5) / (df + 0.5)))) for t, (q, df) in terms.items()}, self.mean)
-
-    def _each(self, block: _Block, make, schema: str) -> DataFrame:
-        held, size = self.corpus.sparkSession.sparkContext.broadcast(block), self.size
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for at in range(0, batch.num_rows, 1024):
-                    part = batch.slice(at, 1024)
-                    yield make(held.value, part, *_scores(held.value, part, size))
-
-        return self.corpus.mapInArrow(run, schema)
+        asked = written(asked.select("id", "v").join(known, "id", "left"), "asked")
+        blocks, strips = (max(1, -(-n // each)) for n, each in ((asked.count(), block), (self.n, strip)))
+        self.strips = max(strips, int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        salts = -(-blocks // BLOCKS)
+        asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).groupBy("block").agg(F.collect_list(F.struct("id", "v", "known")).alias("q"))
+        self.asked = asked.withColumn("salt", F.col("block") % salts)
+        # copies of one row lie in any strips
+        part = F.floor(F.col("r") * self.strips).cast("bigint")
+        held = self.corpus.select(part.alias("part"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("copy"), "id", "v", "tokens")
+        self.held = held
+
+    def _each(self, blocks: DataFrame, make, schema: str) -> DataFrame:
+        n, mean = self.n, self.mean
+        names = [c.split()[0] for c in schema.split(", ")]
+
+        def met(strips: pa.Table, asked: pa.Table) -> pa.Table:
+            out = [make(None, None, None, None, None, names)]
+            if strips.num_rows and asked.num_rows:
+                strips = strips.sort_by("id").combine_chunks()
+                strip, candidates = _Strip(strips), strips["id"]
+                for row in range(asked.num_rows):
+                    q = asked["q"][row].values
+                    known = q.field("known")
+                    size = pc.fill_null(pc.list_value_length(known), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                    flat = known.flatten()
+                    coded = flat.field("term").dictionary_encode()
+                    whole = np.full(len(q), n), np.full(len(q), mean)
+                    queries = _Queries(*whole, q.field("v"), np.repeat(np.arange(len(q)), size), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary, flat.field("df").to_numpy(zero_copy_only=False))
+                    limits = asked["limits"][row].values if "limits" in asked.column_names else None
+                    out.append(make(q.field("id"), candidates, *_scores(strip, queries), limits, names))
+            return pa.Table.from_batches(out)
+
+        spread = blocks.withColumn("strip", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(self.strips - 1).cast("bigint"))))
+        return self.held.groupBy("part", "copy").cogroup(spread.groupBy("strip", "salt")).applyInArrow(met, schema)
 
     def limits(self) -> DataFrame:
         """``query, dense_min, dense_max, bm25_min, bm25_max`` over all candidates."""
-        names = ["query", "dense_min", "dense_max", "bm25_min", "bm25_max"]
 
-        def make(block, part, dense, sparse):
-            cols = [dense.min(1), dense.max(1), sparse.min(1), sparse.max(1)]
-            return pa.RecordBatch.from_arrays([pa.array(block.keys, pa.string()), *map(pa.array, cols)], names)
+        def make(ids, _, dense, sparse, limits, names) -> pa.RecordBatch:
+            cols = [np.empty(0)] * 4 if ids is None else [dense.min(1), dense.max(1), sparse.min(1), sparse.max(1)]
+            return pa.RecordBatch.from_arrays([pa.array([], pa.string()) if ids is None else ids, *map(pa.array, cols)], names)
 
-        schema = "query string, dense_min double, dense_max double, bm25_min double, bm25_max double"
-        parts = [self._each(b, make, schema) for b in self._blocks()]
-        found = parts[0] if parts else self.corpus.sparkSession.createDataFrame([], schema)
-        for p in parts[1:]:
-            found = found.unionByName(p)
-        return found.groupBy("query").agg(*((F.min if n.endswith("min") else F.max)(n).alias(n) for n in names[1:]))
+        found = self._each(self.asked, make, "query string, " + ", ".join(f"{c} double" for c in _LIMITS))
+        return found.groupBy("query").agg(*((F.min if c.endswith("min") else F.max)(c).alias(c) for c in _LIMITS))
 
     def best(self, k: int, dense: float = DENSE, sparse: float = SPARSE, scale: bool = True) -> DataFrame:
-        """``query, candidate, score, place``: the k best by the weighted sum of the scaled scores (unscaled if not ``scale``)."""
-        parts = []
-        for block in self._blocks():
-            if scale:
-                names = block.keys
-                got = self._limits_of(block)
-                block.limits = np.array([got[n] for n in names]) if got else None
-
-            def make(block, part, d, s):
-                if block.limits is not None:
-                    lo, hi = block.limits[:, [0, 2]], block.limits[:, [1, 3]]
-                    span = np.where(hi > lo, hi - lo, np.inf)
-                    d, s = (d - lo[:, :1]) / span[:, :1], (s - lo[:, 1:]) / span[:, 1:]
-                score = np.round(dense * d + sparse * s, 9)
-                names, out = part.column("id").to_pylist(), []
-                for i, row in enumerate(score):
-                    edge = np.partition(row, max(0, len(row) - k))[max(0, len(row) - k)]
-                    out += [(block.keys[i], n, -x) for x, n in sorted((-row[j], names[j]) for j in np.flatnonzero(row >= edge))[:k]]
-                cols = list(zip(*out)) or [(), (), ()]
-                return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.float64())], ["query", "candidate", "score"])
-
-            parts.append(self._each(block, make, "query string, candidate string, score double"))
-        found = parts[0] if parts else self.corpus.sparkSession.createDataFrame([], "query string, candidate string, score double")
-        for p in parts[1:]:
-            found = found.unionByName(p)
+        """``query, candidate, score, place``: the k best by the weighted sum of the scaled scores (unscaled if not ``scale``). Equal scores (to 9 digits) go to the smaller id."""
+        blocks = self.asked
+        if scale:
+            limits = written(self.limits(), "limits")
+            in_block = blocks.select("block", F.explode("q.id").alias("query")).join(limits, "query").groupBy("block")
+            blocks = blocks.join(in_block.agg(F.array_sort(F.collect_list(F.struct("query", *_LIMITS))).alias("limits")), "block")
+
+        def make(ids, candidates, d, s, limits, names) -> pa.RecordBatch:
+            if ids is None:
+                return pa.RecordBatch.from_arrays([pa.array([], pa.string()), pa.array([], pa.string()), pa.array([], pa.float64())], names)
+            by = None
+            if limits is not None:
+                at = pc.index_in(ids, value_set=limits.field("query")).to_numpy()
+                by = np.stack([limits.field(c).to_numpy()[at] for c in _LIMITS])
+            exact = _weighted(d, s, (dense, sparse), by)
+            i, j = _best(exact, np.ones(exact.shape, bool), k)
+            return pa.RecordBatch.from_arrays([ids.take(pa.array(i)), candidates.combine_chunks().take(pa.array(j)), pa.array(exact[i, j])], names)
+
+        found = self._each(blocks, make, "query string, candidate string, score double")
         return topk(found, ["query"], "score", "candidate", k)
-
-    def _limits_of(self, block: _Block) -> dict[str, list[float]]:
-        def make(block, part, d, s):
-            cols = [d.min(1), d.max(1), s.min(1), s.max(1)]
-            return pa.RecordBatch.from_arrays([pa.array(block.keys, pa.string()), *map(pa.array, cols)], ["query", "a", "b", "c", "d"])
-
-        rows = self._each(block, make, "query string, a double, b double, c double, d double")
-        got = rows.groupBy("query").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.min("c").alias("c"), F.max("d").alias("d")).collect()
-        return {r["query"]: [r["a"], r["b"], r["c"], r["d"]] for r in got}
