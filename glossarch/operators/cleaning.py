@@ -19,7 +19,7 @@ PLAIN = {"‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-",
 # The patterns in their order, by step, and what takes their place.
 PATTERNS = {
     "newlines": [(r"\r\n?", "\n"), (rf"\n{S}*\n{S}*\n+", "\n\n")],
-    "markers": [(rf"\((\p{{Nd}}+|[a-z])\){S}*\n+{S}*", "($1) "), (rf"\){S}*\n+{S}*\(", ")\n("), (rf"\(([a-z])\){S}*\n{S}*", "($1) ")],
+    "markers": [(rf"\((\p{{Nd}}+|[a-z])\){S}*\n+{S}*", "($1) "), (rf"\){S}*\n+{S}*\(", ")\n(")],
     "join_lines": [(rf"(?<![.!?;:])\n(?={NOT_S})", " ")],
     "spacing": [(r"(?md)^[ \t]+(\([a-z0-9]+\))", "$1"), (" {2,}", " "), (r"[ \t]*\n[ \t]*", "\n"), (rf"{S}+([,.;:])", "$1"), (rf"^{S}+|{S}+\z", "")],
 }

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from glossarch.operators.cleaning import NOT_S, PLAIN, S
-from glossarch.operators.chunking import WORD_COST
+# White space, from the definition of the language and not from the engine's list.
+_SPACES = "".join(rf"\x{{{ord(c):x}}}" for c in map(chr, range(0x3001)) if c.isspace())
+S, NOT_S = f"[{_SPACES}]", f"[^{_SPACES}]"
+# Typographic quotes, dashes and the no-break space by code point, and what they are written as.
+_ASCII = [(8216, 39), (8217, 39), (8220, 34), (8221, 34), (8211, 45), (8212, 45), (160, 32)]
 
 
 def sub(expr: str, pattern: str, to: str) -> str:
@@ -11,8 +14,9 @@ def sub(expr: str, pattern: str, to: str) -> str:
 
 
 def quotes(e: str) -> str:
-    plain = "".join(PLAIN.values()).replace("'", "''")
-    return f"translate({e}, '{''.join(PLAIN)}', '{plain}')"
+    for odd, plain in _ASCII:
+        e = f"replace({e}, chr({odd}), chr({plain}))"
+    return e
 
 
 def newlines(e: str) -> str:
@@ -52,7 +56,8 @@ def words(e: str) -> str:
 
 
 def cost(w: str) -> str:
-    return f"len(regexp_extract_all({w}, '{WORD_COST}'))"
+    # a run of letters and digits is one piece, any other character is one, too
+    return f"(len(regexp_extract_all({w}, '[0-9a-zA-Z]+')) + length(regexp_replace({w}, '[0-9a-zA-Z]', '', 'g')))"
 
 
 def start_valid(w: str) -> str:
