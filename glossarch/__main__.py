@@ -7,6 +7,7 @@ offline stand-ins are used instead of a language model. On a cluster use the fun
 from __future__ import annotations
 
 import argparse
+import importlib
 import os
 import sys
 from dataclasses import replace
@@ -49,9 +50,25 @@ def _save(df: DataFrame, columns: list[str], json_path: str, database: str, tabl
     return [json_path, database]
 
 
+def _named(name: str):
+    """The function ``module:function``."""
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+def _tools(args) -> dict:
+    """Embedding of a column of texts and cost of a word, where the command line names them."""
+    tools = {}
+    if args.embed:
+        of = _named(args.embed)
+        tools["embed"] = models.embed(lambda texts: [list(v) for v in of(texts)])
+    return tools
+
+
 def run_chunk(spark: SparkSession, path: str, args, settings) -> list[str]:
     files.text_inputs(path)
-    rows = pipeline.chunk(files.read_texts(spark, path), settings)
+    cost = {"cost": _named(args.word_cost)} if args.word_cost else {}
+    rows = pipeline.chunk(files.read_texts(spark, path), settings, **_tools(args), **cost)
     out = [files.output_path(path, e) for e in ("_chunks.json", "_raw.sqlite")]
     return _save(rows, ["doc", "id", "chunk"], *out, "raw_chunks", "id", {"doc": "doc", "id": "id", "chunk": "chunk", "emb": "emb"})
 
@@ -59,7 +76,7 @@ def run_chunk(spark: SparkSession, path: str, args, settings) -> list[str]:
 def run_contextualize(spark: SparkSession, path: str, args, settings) -> list[str]:
     chunks = files.read_json_array(spark, path)
     corpus = sqlite.system_corpus(spark, args.corpus) if args.corpus and sqlite.databases(args.corpus) else None
-    rows = pipeline.contextualize(chunks, corpus, settings, _model(args), _model(args))
+    rows = pipeline.contextualize(chunks, corpus, settings, _model(args), _model(args), **_tools(args))
     out = [files.output_path(path, e) for e in ("_contextualized.json", "_contextualized.sqlite")]
     columns = [f.name for f in files.CONTEXTUALIZED.fields if settings.mode == "prefix" or f.name != "context_prefix"]
     stored = {"doc": "doc", "id": "id", "chunk_raw": "chunk", "context_prefix": "context_prefix", "chunk_ctx": "contextualized_chunk", "emb_ctx": "emb_ctx"}
@@ -67,14 +84,14 @@ def run_contextualize(spark: SparkSession, path: str, args, settings) -> list[st
 
 
 def run_claims(spark: SparkSession, path: str, args, settings) -> list[str]:
-    rows = pipeline.extract_claims(files.read_json_array(spark, path, files.CONTEXTUALIZED), settings, _claims_model(args))
+    rows = pipeline.extract_claims(files.read_json_array(spark, path, files.CONTEXTUALIZED), settings, _claims_model(args), **_tools(args))
     out = [files.output_path(path, e) for e in ("_claims.jsonl", "_claims.sqlite")]
     columns = [f.name for f in files.CLAIM.fields]
     return _save(rows, columns, *out, "claims", "claim_id", {c: c for c in columns} | {"emb": "claim_emb"}, lines=True)
 
 
 def run_triples(spark: SparkSession, path: str, args, settings) -> list[str]:
-    rows = pipeline.extract_triples(files.read_json_lines(spark, path), _model(args))
+    rows = pipeline.extract_triples(files.read_json_lines(spark, path), _model(args), **_tools(args))
     out = [files.output_path(path, e) for e in ("_triples.jsonl", "_triples.sqlite")]
     columns = [f.name for f in files.TRIPLE.fields]
     vectors = ["subject_emb", "predicate_emb", "object_emb", "claim_emb"]
@@ -91,6 +108,8 @@ def main(argv: list[str], spark: SparkSession | None = None) -> list[str]:
     parser.add_argument("--mode", choices=configuration.MODES, default="rewrite")
     parser.add_argument("--config", help="YAML file of parameters")
     parser.add_argument("--corpus", help="folder of SQLite databases to search as well")
+    parser.add_argument("--embed", help="embedding model, as module:function from a list of texts to vectors")
+    parser.add_argument("--word-cost", help="tokens of a word, as module:function")
     parser.add_argument("--server", help="URL of a chat server")
     parser.add_argument("--model", default="mistral:7b")
     args = parser.parse_args(argv)

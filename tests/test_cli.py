@@ -33,3 +33,11 @@ def test_missing(spark, tmp_path):
         main(["chunk", str(tmp_path / "x.md")], spark)
     with pytest.raises(SystemExit):
         main(["chunk", str(tmp_path), "--mode", "other"], spark)
+
+
+def test_word_cost_is_a_parameter(spark, tmp_path):
+    (tmp_path / "b.txt").write_text("The board met and kept the rule. " * 40)
+    many, _ = main(["chunk", str(tmp_path / "b.txt"), "--word-cost", "builtins:len"], spark)
+    long = json.load(open(many))
+    few, _ = main(["chunk", str(tmp_path / "b.txt")], spark)
+    assert len(long) > len(json.load(open(few)))  # a letter costs a token, so more chunks are needed
