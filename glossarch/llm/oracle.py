@@ -40,6 +40,16 @@ o AS (SELECT a.k AS ka, b.k AS kb, count(*) AS o FROM s a JOIN s b ON a.e = b.e
 SELECT ka AS rec_a, kb AS rec_b FROM o JOIN n x ON x.k = ka JOIN n y ON y.k = kb WHERE 10 * o >= 6 * (x.n + y.n - o)"""
 
 
+def _groups(kind: str, table: str, key: str, text: str) -> str:
+    pairs = _similar(table, key, text).replace("\nSELECT ka AS rec_a", ",\np AS (SELECT ka AS rec_a")
+    return f"""RECURSIVE {pairs}),
+c AS (SELECT k, min(k) OVER (PARTITION BY sig) AS class_id FROM (SELECT k, string_agg(e, chr(1) ORDER BY e) AS sig FROM s GROUP BY k)),
+l AS (SELECT DISTINCT a.class_id AS x, b.class_id AS y FROM p JOIN c a ON a.k = rec_a JOIN c b ON b.k = rec_b WHERE a.class_id <> b.class_id),
+b AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT DISTINCT class_id AS x, class_id AS top FROM c UNION SELECT b.y, r.top FROM r JOIN b USING (x))
+SELECT '{kind}' AS kind, k AS key, class_id, (SELECT count(*) FROM b WHERE b.x = class_id) AS links, (SELECT min(top) FROM r WHERE r.x = class_id) AS group_id FROM c"""
+
+
 def _best_term(field: str, table: str) -> str:
     return f"""t AS (SELECT id, unnest(regexp_extract_all(lower({field}), '[a-z0-9]+')) AS term FROM {_current(table, 'id')}),
 tf AS (SELECT id, term, count(*) AS tf FROM t GROUP BY ALL),
@@ -99,6 +109,7 @@ ORACLE = {
     "p2_found": " UNION ALL ".join(_nearest(*x) for x in (("emb", "raw_chunks", "id"), ("emb_ctx", "contextualized_chunks", "id"), ("claim_emb", "claims", "claim_id"))),
     "p3_found": P3,
     "p4_found": f"SELECT * FROM (WITH {_similar('raw_chunks', 'id', 'chunk')}) UNION ALL SELECT * FROM (WITH {_similar('claims', 'claim_id', 'claim_text')})",
+    "p4_groups": f"SELECT * FROM (WITH {_groups('chunk', 'raw_chunks', 'id', 'chunk')}) UNION ALL SELECT * FROM (WITH {_groups('claim_text', 'claims', 'claim_id', 'claim_text')})",
     "p5_found": f"SELECT * FROM (WITH {_best_term('chunk', 'raw_chunks')}) UNION ALL SELECT * FROM (WITH {_best_term('chunk_ctx', 'contextualized_chunks')})",
     "p5_residuals": f"SELECT * FROM (WITH {_residuals('chunk', 'raw_chunks')}) UNION ALL SELECT * FROM (WITH {_residuals('chunk_ctx', 'contextualized_chunks')})",
     "p6_stretches": P6_STRETCHES,
