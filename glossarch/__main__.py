@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import argparse
 import importlib
+import json
 import os
 import sys
+import time
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,7 @@ from glossarch.functions import models
 from glossarch.operators.cleaning import clean
 from glossarch.plans import config as configuration
 from glossarch.plans import pipeline
+from glossarch.plans.metrics import Metrics
 from glossarch.sources import files, sqlite
 
 
@@ -68,7 +71,7 @@ def _tools(args) -> dict:
 def run_chunk(spark: SparkSession, path: str, args, settings) -> list[str]:
     files.text_inputs(path)
     cost = {"cost": _named(args.word_cost)} if args.word_cost else {}
-    rows = pipeline.chunk(files.read_texts(spark, path), settings, **_tools(args), **cost)
+    rows = pipeline.chunk(files.read_texts(spark, path), settings, **_tools(args), **cost, metrics=args.metrics)
     out = [files.output_path(path, e) for e in ("_chunks.json", "_raw.sqlite")]
     return _save(rows, ["doc", "id", "chunk"], *out, "raw_chunks", "id", {"doc": "doc", "id": "id", "chunk": "chunk", "emb": "emb"})
 
@@ -76,7 +79,7 @@ def run_chunk(spark: SparkSession, path: str, args, settings) -> list[str]:
 def run_contextualize(spark: SparkSession, path: str, args, settings) -> list[str]:
     chunks = files.read_json_array(spark, path)
     corpus = sqlite.system_corpus(spark, args.corpus) if args.corpus and sqlite.databases(args.corpus) else None
-    rows = pipeline.contextualize(chunks, corpus, settings, _model(args), _model(args), **_tools(args))
+    rows = pipeline.contextualize(chunks, corpus, settings, _model(args), _model(args), **_tools(args), metrics=args.metrics)
     out = [files.output_path(path, e) for e in ("_contextualized.json", "_contextualized.sqlite")]
     columns = [f.name for f in files.CONTEXTUALIZED.fields if settings.mode == "prefix" or f.name != "context_prefix"]
     stored = {"doc": "doc", "id": "id", "chunk_raw": "chunk", "context_prefix": "context_prefix", "chunk_ctx": "contextualized_chunk", "emb_ctx": "emb_ctx"}
@@ -84,14 +87,14 @@ def run_contextualize(spark: SparkSession, path: str, args, settings) -> list[st
 
 
 def run_claims(spark: SparkSession, path: str, args, settings) -> list[str]:
-    rows = pipeline.extract_claims(files.read_json_array(spark, path, files.CONTEXTUALIZED), settings, _claims_model(args), **_tools(args))
+    rows = pipeline.extract_claims(files.read_json_array(spark, path, files.CONTEXTUALIZED), settings, _claims_model(args), **_tools(args), metrics=args.metrics)
     out = [files.output_path(path, e) for e in ("_claims.jsonl", "_claims.sqlite")]
     columns = [f.name for f in files.CLAIM.fields]
     return _save(rows, columns, *out, "claims", "claim_id", {c: c for c in columns} | {"emb": "claim_emb"}, lines=True)
 
 
 def run_triples(spark: SparkSession, path: str, args, settings) -> list[str]:
-    rows = pipeline.extract_triples(files.read_json_lines(spark, path), _model(args), **_tools(args))
+    rows = pipeline.extract_triples(files.read_json_lines(spark, path), _model(args), **_tools(args), metrics=args.metrics)
     out = [files.output_path(path, e) for e in ("_triples.jsonl", "_triples.sqlite")]
     columns = [f.name for f in files.TRIPLE.fields]
     vectors = ["subject_emb", "predicate_emb", "object_emb", "claim_emb"]
@@ -117,8 +120,10 @@ def main(argv: list[str], spark: SparkSession | None = None) -> list[str]:
         raise FileNotFoundError(args.path)
     settings = replace(configuration.load(args.config) if args.config else configuration.Config(), mode=args.mode)
     spark = spark or SparkSession.builder.getOrCreate()
+    args.metrics, began = Metrics(), time.time()
     written = STEPS[args.step](spark, os.path.abspath(args.path), args, settings)
     print("\n".join(written))
+    print(json.dumps(args.metrics.values() | {"seconds": round(time.time() - began, 1)}), file=sys.stderr)
     return written
 
 
